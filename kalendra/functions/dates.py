@@ -20,7 +20,7 @@ MONTH_ABBREVIATIONS = [
 
 
 def _parse(text: Column, pattern: str) -> Column:
-    return F.try_to_date(text, F.lit(pattern))
+    return F.try_to_date(text, pattern)
 
 
 def _month_number(name: Column, names: list[str]) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,6 +14,11 @@ UMLAUTS = {"ä": "ae", "ö": "oe", "ü": "ue", "Ä": "Ae", "Ö": "Oe", "Ü": "Ue
 CITY_KEY_DELETED = "/.,()-"
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate `value` once where `body` needs it several times."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def title_case(text: Column) -> Column:
     """Upper-case each letter that follows a non-letter, lower-case the others."""
     runs = F.regexp_extract_all(text, F.lit(r"\p{L}+|[^\p{L}]+"), F.lit(0))
@@ -19,19 +26,24 @@ def title_case(text: Column) -> Column:
 
 
 def title_if_upper(text: Column) -> Column:
-    shouting = (text == F.upper(text)) & (text != F.lower(text))
-    return F.when(shouting, title_case(text)).otherwise(text)
+    def retitled(t: Column) -> Column:
+        return F.when((t == F.upper(t)) & (t != F.lower(t)), title_case(t)).otherwise(t)
+
+    return _let(text, retitled)
 
 
 def city_key(text: Column) -> Column:
     spelled = text
     for umlaut, letters in UMLAUTS.items():
         spelled = F.replace(spelled, F.lit(umlaut), F.lit(letters))
-    key = F.translate(F.replace(spelled, F.lit(" "), F.lit("_")), CITY_KEY_DELETED, "")
-    folded = F.when(key == "inselweit", F.lit("Amrum_inselweit")).otherwise(key)
-    for target in reversed(TARGET_CITIES):
-        folded = F.when(key.contains(target), F.lit(target)).otherwise(folded)
-    return folded
+
+    def folded(key: Column) -> Column:
+        name = F.when(key == "inselweit", F.lit("Amrum_inselweit")).otherwise(key)
+        for target in reversed(TARGET_CITIES):
+            name = F.when(key.contains(target), F.lit(target)).otherwise(name)
+        return name
+
+    return _let(F.translate(F.replace(spelled, F.lit(" "), F.lit("_")), CITY_KEY_DELETED, ""), folded)
 
 
 def alnum_key(text: Column) -> Column:

@@ -9,24 +9,72 @@ from pyspark.sql import functions as F
 
 from kalendra.functions.text import alnum_key
 from kalendra.operators.filters import still_running
-from kalendra.operators.numbering import ranked
+from kalendra.operators.numbering import join_null_equal, slot_ranks
 
 CARRIED = [
     "subject", "location", "start_date", "end_date", "start_time", "end_time",
     "description", "city", "music_label",
 ]
 DIFF_COLUMNS = [*CARRIED, "updated_description", "status"]
-JOIN_KEYS = ["subject_key", "event_rank", "city_key"]
+JOIN_KEYS = ["subject_key", "event_rank", "city"]
+# Rows of one key that one task may join, and how many ways rows that meet nothing are scattered.
+ROWS_PER_PIECE = 100_000
+MATCHLESS_PIECES = 1024
 
 
-def _side(df: DataFrame, asof: Column, prefix: str, normalise_key: bool) -> DataFrame:
-    running = ranked(still_running(df.select(*CARRIED), asof))
-    key = alnum_key(F.col("subject")) if normalise_key else F.col("subject")
-    return running.select(
-        key.alias("subject_key"),
-        F.col("event_rank"),
-        F.col("city").alias("city_key"),
-        *[F.col(c).alias(f"{prefix}_{c}") for c in CARRIED],
+def _keyed_rows(
+    today: DataFrame, previous: DataFrame, asof: Column, normalise_key: bool
+) -> DataFrame:
+    """Running events of both snapshots with `side`, join key, and the key's rows per side.
+
+    Ranks and key sizes are worked out on counted cells and come back to the rows in one join. The
+    joins are NULL-equal so that all branches keep the same input and share its shuffle.
+    """
+    rows = still_running(today.select(F.lit("t").alias("side"), *CARRIED), asof).unionByName(
+        still_running(previous.select(F.lit("p").alias("side"), *CARRIED), asof)
+    )
+    slot = ["side", "subject", "start_date", "start_time"]
+    cells = rows.groupBy(*slot, "city").agg(F.count(F.lit(1)).alias("n"))
+    ranks = slot_ranks(cells, ["side", "subject"], ["start_date", "start_time"], "n")
+    subject = F.col("subject")
+    keyed = join_null_equal(cells, ranks, slot).withColumn(
+        "subject_key", alnum_key(subject) if normalise_key else subject
+    )
+    complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in JOIN_KEYS])
+    sizes = keyed.groupBy(*JOIN_KEYS).agg(
+        *[F.sum(F.when(complete & (F.col("side") == s), F.col("n"))).alias(f"n_{s}") for s in "tp"]
+    )
+    placed = join_null_equal(keyed, sizes, JOIN_KEYS).drop("n")
+    return join_null_equal(rows, placed, [*slot, "city"])
+
+
+def _spread(rows: DataFrame, side: str) -> DataFrame:
+    """One side of the join, with frequent keys cut into pieces.
+
+    A key with many rows is cut on its own side and repeated for every piece of the other side, so
+    that each pair of rows still meets exactly once.
+    """
+    mine, other = ("t", "p") if side == "t" else ("p", "t")
+
+    def pieces(s: str) -> Column:
+        return F.coalesce(F.ceil(F.col(f"n_{s}") / F.lit(ROWS_PER_PIECE)), F.lit(1)).cast("int")
+
+    matchless = F.col("n_t").isNull() | F.col("n_p").isNull()
+    own_pieces = F.when(matchless, F.lit(MATCHLESS_PIECES)).otherwise(pieces(mine))
+    piece = F.pmod(F.xxhash64(*CARRIED), own_pieces).cast("int")
+    repeats = F.when(matchless, F.lit(1)).otherwise(pieces(other))
+    return (
+        rows.filter(F.col("side") == side)
+        .withColumn(f"piece_{mine}", piece)
+        .withColumn(f"piece_{other}", F.explode(F.sequence(F.lit(0), repeats - 1)))
+        .select(
+            *JOIN_KEYS,
+            "piece_t",
+            "piece_p",
+            (~matchless).alias(f"{side}_meets"),
+            *[F.col(c).alias(f"{side}_{c}") for c in CARRIED if c != "city"],
+            F.col("city").alias(f"{side}_city"),
+        )
     )
 
 
@@ -69,22 +117,18 @@ def _told(t: str, p: str) -> tuple[Column, Column]:
 def diff_ranked(
     today: DataFrame, previous: DataFrame, asof: Column, normalise_key: bool = True
 ) -> DataFrame:
-    """Full outer comparison of two snapshots.
+    """Full outer comparison of two snapshots on (subject key, rank, city).
 
-    The outer join is an inner join plus two anti joins against distinct keys. Unlike one full
-    outer join, each of them can be split by the adaptive planner when a key is frequent, and rows
-    with a NULL key, which match nothing, are set aside before any shuffle.
+    Keys with a NULL match nothing. In an equi-join a key either meets on both sides or is alone
+    with all its rows; keys alone are scattered and frequent keys are cut into pieces, since the
+    adaptive planner cannot split a full outer join. A piece without partner of a key that meets
+    is no unmatched event and goes.
     """
-    t = _side(today, asof, "t", normalise_key)
-    p = _side(previous, asof, "p", normalise_key)
-    complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in JOIN_KEYS])
-    t_keyed, p_keyed = t.filter(complete), p.filter(complete)
-    t_only = t_keyed.join(p_keyed.select(*JOIN_KEYS).distinct(), JOIN_KEYS, "left_anti")
-    p_only = p_keyed.join(t_keyed.select(*JOIN_KEYS).distinct(), JOIN_KEYS, "left_anti")
-    paired = (
-        t_keyed.join(p_keyed, JOIN_KEYS)
-        .unionByName(t_only.unionByName(t.filter(~complete)), allowMissingColumns=True)
-        .unionByName(p_only.unionByName(p.filter(~complete)), allowMissingColumns=True)
+    rows = _keyed_rows(today, previous, asof, normalise_key)
+    t, p = _spread(rows, "t"), _spread(rows, "p")
+    paired = t.join(p, [*JOIN_KEYS, "piece_t", "piece_p"], "full_outer").filter(
+        ~F.coalesce("t_meets", F.lit(False)) & ~F.coalesce("p_meets", F.lit(False))
+        | (F.col("t_meets") & F.col("p_meets"))
     )
     updated, status = _told("t", "p")
     return paired.select(

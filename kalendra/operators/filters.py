@@ -16,7 +16,7 @@ def with_valid_dates(df: DataFrame) -> DataFrame:
     cast = df
     for name in ("start_date", "end_date"):
         if dict(df.dtypes)[name] == "string":
-            cast = cast.withColumn(name, F.try_to_date(name, F.lit("yyyy-MM-dd")))
+            cast = cast.withColumn(name, F.try_to_date(name, "yyyy-MM-dd"))
     return cast.dropna(subset=["start_date", "end_date"])
 
 

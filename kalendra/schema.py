@@ -60,8 +60,8 @@ def typed(df: DataFrame) -> DataFrame:
     """Cast an all-text event frame to the event types; text that does not parse becomes NULL."""
     return conform(
         to_canonical(df)
-        .withColumn("start_date", F.try_to_date("start_date", F.lit("yyyy-MM-dd")))
-        .withColumn("end_date", F.try_to_date("end_date", F.lit("yyyy-MM-dd")))
+        .withColumn("start_date", F.try_to_date("start_date", "yyyy-MM-dd"))
+        .withColumn("end_date", F.try_to_date("end_date", "yyyy-MM-dd"))
         .withColumn("music_label", F.col("music_label").try_cast("boolean"))
     )
 
