@@ -1 +1,163 @@
-"""Pending."""
+"""CSV drops, landing loads and dated snapshots written to the shared folder and read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from catalogue.dedup import EVENT
+from catalogue.registry import asof, from_sql, query, table, with_views
+from catalogue.views import EV_NEW, EV_OLD
+from kalendra.schema import CSV_COLUMNS, EVENT_COLUMNS
+from kalendra.session import fresh_folder
+from kalendra.sources import csv_drop, snapshots
+
+
+def _as_csv_columns(events):
+    """Event columns under the names of a CSV drop, a missing text as one blank."""
+    filled = events.select(*[F.col(c).cast("string").alias(c) for c in EVENT_COLUMNS]).na.fill(" ")
+    return filled.toDF(*CSV_COLUMNS)
+
+
+def _drop_folder(spark, sf) -> str:
+    """Three sources: one with the agreed columns, one with a row index, one with other columns."""
+    folder = fresh_folder(spark, "csv-drop")
+    new = _as_csv_columns(from_sql(spark, sf, EV_NEW))
+    old = from_sql(spark, sf, EV_OLD)
+    indexed = old.select("row_seq").join(old, "row_seq")
+    other = table(spark, sf, "customer")
+    options = csv_drop.WRITE_OPTIONS
+    new.write.options(**options).csv(f"{folder}/plain")
+    indexed.select(
+        F.col("row_seq").alias("Unnamed: 0"),
+        *[F.col(c).cast("string").alias(n) for c, n in zip(EVENT_COLUMNS, CSV_COLUMNS, strict=True)],
+    ).na.fill(" ").write.options(**options).csv(f"{folder}/indexed")
+    other.write.options(**options).csv(f"{folder}/other")
+    return folder
+
+
+def _read_all(spark, folder):
+    return csv_drop.read_event_csvs(spark, f"{folder}/*", CSV_COLUMNS)
+
+
+BLANKED = ", ".join(
+    f"coalesce({c}, ' ') as {c}"
+    for c in ("subject", "start_time", "end_time", "location", "city", "description", "category")
+)
+
+
+@query(
+    "csv_drop_rows",
+    with_views(
+        f"""
+        select {BLANKED}, start_date, end_date, music_label
+        from (select {EVENT} from ev_new union all by name select {EVENT} from ev_old)
+        """,
+        ev_new=EV_NEW,
+        ev_old=EV_OLD,
+    ),
+)
+def csv_drop_rows(spark, sf):
+    rows, _ = _read_all(spark, _drop_folder(spark, sf))
+    return rows.select(*EVENT_COLUMNS)
+
+
+@query(
+    "csv_gate",
+    """
+    select 'c_acctbal,c_custkey,c_mktsegment,c_name,c_nationkey' as columns, false as accepted
+    union all
+    select 'Category,City,Description,End_date,End_time,Location,Music_label,Start_date,Start_time,Subject',
+           true
+    """,
+)
+def csv_gate(spark, sf):
+    folder = _drop_folder(spark, sf)
+    judged = csv_drop.gate(csv_drop.csv_files(spark, f"{folder}/*"), CSV_COLUMNS)
+    return judged.select(F.array_join("columns", ",").alias("columns"), "accepted").distinct()
+
+
+@query(
+    "landing_latest",
+    with_views(f"select row_seq, {EVENT} from ev_new", ev_new=EV_NEW),
+)
+def landing_latest(spark, sf):
+    """Two loads are landed; the later one is read."""
+    folder = fresh_folder(spark, "landing")
+    snapshots.land(from_sql(spark, sf, EV_OLD), folder, "20240109_060000")
+    snapshots.land(from_sql(spark, sf, EV_NEW), folder, "20240110_060000")
+    return snapshots.latest_load(spark, folder).drop("load_ts")
+
+
+def _snapshot_folder(spark, sf) -> str:
+    folder = fresh_folder(spark, "snapshots")
+    old, new = from_sql(spark, sf, EV_OLD), from_sql(spark, sf, EV_NEW)
+    snapshots.promote(old.filter(F.col("city") == "ASIA"), folder, "2024-01-08")
+    snapshots.promote(old, folder, "2024-01-09")
+    snapshots.promote(new, folder, "2024-01-10")
+    return folder
+
+
+@query(
+    "snapshot_latest",
+    with_views(
+        f"select row_seq, {EVENT}, date '2024-01-09' as snapshot_date from ev_old", ev_old=EV_OLD
+    ),
+)
+def snapshot_latest(spark, sf):
+    """The newest snapshot strictly before the run day."""
+    stored = spark.read.parquet(_snapshot_folder(spark, sf))
+    return snapshots.latest_snapshot(stored, before=asof())
+
+
+@query(
+    "snapshot_latest_named",
+    """
+    select table_name, day from (
+        select 'events_data_' || case when o_orderstatus = 'F' then 'new' else 'old' end
+                 || '_events_' || strftime(o_orderdate, '%Y%m%d') as table_name,
+               cast(strftime(o_orderdate, '%Y%m%d') as integer) as day, o_orderstatus as st
+        from orders)
+    where st <> 'F' and day < 20000101 order by day desc limit 1
+    """,
+)
+def snapshot_latest_named(spark, sf):
+    kind = F.when(F.col("o_orderstatus") == "F", F.lit("new")).otherwise(F.lit("old"))
+    names = table(spark, sf, "orders").select(
+        F.concat(
+            F.lit("events_data_"), kind, F.lit("_events_"), F.date_format("o_orderdate", "yyyyMMdd")
+        ).alias("table_name")
+    )
+    return snapshots.latest_named(names, "old", before=20000101)
+
+
+@query(
+    "city_files",
+    with_views(
+        "select city, count(*) as n from ev_new where city is not null group by city", ev_new=EV_NEW
+    ),
+)
+def city_files(spark, sf):
+    """One CSV folder per city, counted after reading back."""
+    folder = fresh_folder(spark, "city-files")
+    events = from_sql(spark, sf, EV_NEW).filter(F.col("city").isNotNull())
+    csv_drop.write_event_csvs(events.select(*EVENT_COLUMNS), folder, by_city=True)
+    schema = "subject string, start_date string, end_date string, start_time string, " \
+        "end_time string, location string, description string, category string, music_label string"
+    stored = spark.read.schema(schema + ", city string").option("header", True).option(
+        "escape", '"'
+    ).csv(folder)
+    return stored.groupBy("city").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "published_ids",
+    with_views("select row_number() over (order by row_seq) as entry_no from ev_new", ev_new=EV_NEW),
+)
+def published_ids(spark, sf):
+    """The calendar is fully replaced, then its entry ids are listed."""
+    from catalogue.snapshots import _numbered_entries
+    from kalendra.operators.payload import nested
+
+    folder = fresh_folder(spark, "calendar")
+    snapshots.publish(nested(_numbered_entries(spark, sf)), folder)
+    return snapshots.published_ids(spark.read.parquet(folder))

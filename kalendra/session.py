@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,13 +22,21 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names for intermediate data; a scratch folder only where it names
+    none."""
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    return configured or tempfile.mkdtemp(prefix="kalendra-")
+
+
+def fresh_folder(spark: SparkSession, purpose: str) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder the cluster names; only a session without one gets a scratch folder."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="kalendra-checkpoint-"))
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(spark))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

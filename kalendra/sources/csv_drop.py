@@ -9,6 +9,13 @@ from pyspark.sql import types as T
 from kalendra.schema import CSV_COLUMNS, typed
 
 INDEX_COLUMN = "_idx"
+# A blank is a value of its own in these files and must survive writing.
+WRITE_OPTIONS = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
 
 
 def _header_columns(line: Column) -> Column:
@@ -97,7 +104,7 @@ def _read_layout(spark: SparkSession, header: str, files: list[str]) -> DataFram
 
 def write_event_csvs(df: DataFrame, path: str, by_city: bool = False) -> None:
     """Merged CSV files, or one folder per city."""
-    writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
+    writer = df.write.mode("overwrite").options(**WRITE_OPTIONS)
     if by_city:
         writer = writer.partitionBy("city")
     writer.csv(path)
