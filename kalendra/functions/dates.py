@@ -43,14 +43,12 @@ def iso_date(text: Column) -> Column:
 
 def next_occurrence(text: Column, asof: Column) -> Column:
     """`07.12.` -> that day in this year, or in the next one when it is already over."""
-    bare = F.regexp_extract(text, r"^\.*(.*?)\.*$", 1)
-    day = F.get(F.split(bare, r"\."), F.lit(0)).try_cast("int")
-    month = F.get(F.split(bare, r"\."), F.lit(1)).try_cast("int")
+    bare = F.btrim(text, F.lit("."))
+    part = [F.split_part(bare, F.lit("."), F.lit(i)) for i in (1, 2, 3)]
+    day, month = part[0].try_cast("int"), part[1].try_cast("int")
     passed = (month < F.month(asof)) | ((month == F.month(asof)) & (day < F.dayofmonth(asof)))
     year = F.year(asof) + passed.cast("int")
-    return F.when(
-        text.contains(".") & (F.size(F.split(bare, r"\.")) == 2), _from_parts(year, month, day)
-    )
+    return F.when(text.contains(".") & (part[2] == ""), _from_parts(year, month, day))
 
 
 def current_year_date(text: Column, asof: Column) -> Column:

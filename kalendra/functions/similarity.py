@@ -11,8 +11,45 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def lcs_length(a: Column, b: Column) -> Column:
-    """Longest common subsequence by folding the dynamic-programming rows over the letters of a."""
+# A text of at most this many letters fits the bits of one long with room for a carry.
+WORD_LETTERS = 62
+
+
+def _bit(position: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), position)
+
+
+def _lcs_by_bits(a: Column, b: Column) -> Column:
+    """Bit-parallel longest common subsequence (Hyyrö 2004): one row of the table is one long, in
+    which a zero bit marks a letter of b that lengthens the sequence."""
+    ones = _bit(F.length(b)) - 1
+    places = F.sequence(F.lit(1), F.length(b))
+
+    def occurrences(letter: Column) -> Column:
+        def add(mask: Column, j: Column) -> Column:
+            here = F.substring(b, j, F.lit(1)) == letter
+            return F.when(here, mask.bitwiseOR(_bit(j - 1))).otherwise(mask)
+
+        return F.aggregate(places, F.lit(0).cast("long"), add)
+
+    def next_row(state: Column, letter: Column) -> Column:
+        hit = F.aggregate(
+            F.array(occurrences(letter)),
+            F.lit(0).cast("long"),
+            lambda _, mask: state.bitwiseAND(mask),
+        )
+        return F.aggregate(
+            F.array(hit), state, lambda v, u: (v + u).bitwiseOR(v - u).bitwiseAND(ones)
+        )
+
+    letters = F.transform(
+        F.sequence(F.lit(1), F.length(a)), lambda i: F.substring(a, i, F.lit(1))
+    )
+    return F.length(b) - F.bit_count(F.aggregate(letters, ones, next_row))
+
+
+def _lcs_by_rows(a: Column, b: Column) -> Column:
+    """The dynamic-programming table folded row by row, for texts of any length."""
     start = F.array_repeat(F.lit(0), F.length(b) + 1)
     columns = F.sequence(F.lit(1), F.length(b))
 
@@ -28,9 +65,15 @@ def lcs_length(a: Column, b: Column) -> Column:
     letters = F.transform(
         F.sequence(F.lit(1), F.length(a)), lambda i: F.substring(a, i, F.lit(1))
     )
-    table = F.aggregate(letters, start, next_row)
-    return F.when((F.length(a) == 0) | (F.length(b) == 0), F.lit(0)).otherwise(
-        F.element_at(table, -1)
+    return F.element_at(F.aggregate(letters, start, next_row), -1)
+
+
+def lcs_length(a: Column, b: Column) -> Column:
+    """Length of the longest common subsequence."""
+    return (
+        F.when((F.length(a) == 0) | (F.length(b) == 0), F.lit(0))
+        .when(F.length(b) <= WORD_LETTERS, _lcs_by_bits(a, b))
+        .otherwise(_lcs_by_rows(a, b))
     )
 
 

@@ -1,7 +1,8 @@
 """Raw rows of each listing site to the event table.
 
 A normaliser takes the raw frame (columns in snake case, all text unless said) and the run date. It
-is a projection, so a source costs one scan and no shuffle.
+is a projection, so a source costs one scan and no shuffle. Intermediate texts get columns of their
+own (`_…`), so that each is worked out once per row however often it is used.
 """
 
 from __future__ import annotations
@@ -30,10 +31,9 @@ def _finish(df: DataFrame) -> DataFrame:
 
 
 def biunsinnorden(raw: DataFrame, asof: Column) -> DataFrame:
-    day = dates.date_before_clock(F.col("start_text"))
     return _finish(
-        raw.withColumn("start_date", day)
-        .withColumn("end_date", day)
+        raw.withColumn("start_date", dates.date_before_clock(F.col("start_text")))
+        .withColumn("end_date", F.col("start_date"))
         .withColumn("start_time", F.coalesce(times.drop_last_four(F.col("clock")), F.lit(BLANK)))
         .withColumn("end_time", F.lit(BLANK))
         .withColumn("city", text.title_case(F.col("city")))
@@ -42,68 +42,66 @@ def biunsinnorden(raw: DataFrame, asof: Column) -> DataFrame:
 
 
 def eventbrite(raw: DataFrame, asof: Column) -> DataFrame:
-    when = text.cut_more_suffix(F.col("date_and_time"))
-    day = dates.next_occurrence(dates.listing_day_month(dates.relative_day(when, asof)), asof)
     return _finish(
-        raw.withColumn("subject", F.col("title"))
+        raw.withColumn("_when", text.cut_more_suffix(F.col("date_and_time")))
+        .withColumn("_listed", dates.relative_day(F.col("_when"), asof))
+        .withColumn("_day_month", dates.listing_day_month(F.col("_listed")))
+        .withColumn("start_date", dates.next_occurrence(F.col("_day_month"), asof))
+        .withColumn("end_date", F.col("start_date"))
+        .withColumn("subject", F.col("title"))
         .withColumn("description", F.col("source"))
-        .withColumn("start_time", times.last_five(when))
+        .withColumn("start_time", times.last_five(F.col("_when")))
         .withColumn("end_time", F.lit(BLANK))
-        .withColumn("start_date", day)
-        .withColumn("end_date", day)
         .withColumn("category", F.col("label"))
         .withColumn("music_label", classify.music_in_label(F.col("label")))
     )
 
 
 def eventim(raw: DataFrame, asof: Column) -> DataFrame:
-    parts = text.place_date_time(F.col("location_date_time"))
-    day = dates.dotted_date(F.right(parts["date_text"], F.lit(10)))
+    last_ten = F.right("_parts.date_text", F.lit(10))
     return _finish(
-        raw.withColumn("description", describe.text_and_source(F.col("description"), F.col("source")))
-        .withColumn("location", parts["location"])
-        .withColumn("city", parts["location"])
-        .withColumn("start_time", parts["time_text"])
+        raw.withColumn("_parts", text.place_date_time(F.col("location_date_time")))
+        .withColumn("description", describe.text_and_source(F.col("description"), F.col("source")))
+        .withColumn("location", F.col("_parts.location"))
+        .withColumn("city", F.col("location"))
+        .withColumn("start_time", F.col("_parts.time_text"))
         .withColumn("end_time", F.lit(BLANK))
-        .withColumn("start_date", day)
-        .withColumn("end_date", day)
+        .withColumn("start_date", dates.dotted_date(last_ten))
+        .withColumn("end_date", F.col("start_date"))
     )
 
 
 def slash_listing(raw: DataFrame, asof: Column) -> DataFrame:
     """Hamburg and Schleswig-Holstein list `date / time / place, city` in one field."""
-    parts = text.slash_fields(F.coalesce(F.col("info"), F.lit(BLANK)))
-    clock = times.clock_range(parts["time_text"])
-    day = dates.dotted_date(parts["date_text"])
-    category = F.coalesce(F.col("category"), F.lit(BLANK))
     return _finish(
-        raw.withColumn("subject", F.coalesce("title", F.lit(BLANK)))
+        raw.withColumn("_parts", text.slash_fields(F.coalesce(F.col("info"), F.lit(BLANK))))
+        .withColumn("_clock", times.clock_range(F.col("_parts.time_text")))
+        .withColumn("subject", F.coalesce("title", F.lit(BLANK)))
         .withColumn("description", F.coalesce("source", F.lit(BLANK)))
-        .withColumn("category", category)
-        .withColumn("location", parts["location"])
-        .withColumn("city", parts["city"])
-        .withColumn("start_date", day)
-        .withColumn("end_date", day)
-        .withColumn("start_time", clock["start_time"])
-        .withColumn("end_time", clock["end_time"])
-        .withColumn("music_label", classify.music_by_words(category))
+        .withColumn("category", F.coalesce(F.col("category"), F.lit(BLANK)))
+        .withColumn("location", F.col("_parts.location"))
+        .withColumn("city", F.col("_parts.city"))
+        .withColumn("start_date", dates.dotted_date(F.col("_parts.date_text")))
+        .withColumn("end_date", F.col("start_date"))
+        .withColumn("start_time", F.col("_clock.start_time"))
+        .withColumn("end_time", F.col("_clock.end_time"))
+        .withColumn("music_label", classify.music_by_words(F.col("category")))
     )
 
 
 def kiel_magazin(raw: DataFrame, asof: Column) -> DataFrame:
-    parts = text.break_fields(F.col("date_html"))
-    split = times.date_from_clock(parts["day_text"])
-    clock = times.until_range(split["time_text"])
-    day = dates.full_month_date(split["date_text"])
     return _finish(
-        raw.withColumn("subject", text.inner_slice(F.col("link_title"), 19, 1))
+        raw.withColumn("_parts", text.break_fields(F.col("date_html")))
+        .withColumn("_split", times.date_from_clock(F.col("_parts.day_text")))
+        .withColumn("_clock", times.until_range(F.col("_split.time_text")))
+        .withColumn("subject", text.inner_slice(F.col("link_title"), 19, 1))
         .withColumn("description", F.col("source"))
-        .withColumn("location", parts["location"])
-        .withColumn("city", text.title_case(parts["city"]))
-        .withColumn("start_date", day)
-        .withColumn("end_date", day)
-        .withColumn("start_time", clock["start_time"])
-        .withColumn("end_time", clock["end_time"])
+        .withColumn("location", F.col("_parts.location"))
+        .withColumn("city", text.title_case(F.col("_parts.city")))
+        .withColumn("start_date", dates.full_month_date(F.col("_split.date_text")))
+        .withColumn("end_date", F.col("start_date"))
+        .withColumn("start_time", F.col("_clock.start_time"))
+        .withColumn("end_time", F.col("_clock.end_time"))
         .withColumn("category", F.trim("category"))
         .withColumn("music_label", F.lit(True))
     )
@@ -112,16 +110,15 @@ def kiel_magazin(raw: DataFrame, asof: Column) -> DataFrame:
 def kiel_sailing_city(raw: DataFrame, asof: Column) -> DataFrame:
     """`categories` is an array; the category column shows it joined."""
     first_line = F.get(F.split("time_details", "\n"), F.lit(0))
-    when = F.split(dates.replace_today_word(first_line, asof), " ", 2)
-    clock = times.clock_range(F.get(when, F.lit(1)))
-    day = dates.dotted_date(F.get(when, F.lit(0)))
     return _finish(
-        raw.withColumn("subject", F.col("title"))
+        raw.withColumn("_when", F.split(dates.replace_today_word(first_line, asof), " ", 2))
+        .withColumn("_clock", times.clock_range(F.get("_when", F.lit(1))))
+        .withColumn("start_date", dates.dotted_date(F.get("_when", F.lit(0))))
+        .withColumn("end_date", F.col("start_date"))
+        .withColumn("subject", F.col("title"))
         .withColumn("description", F.col("source"))
-        .withColumn("start_date", day)
-        .withColumn("end_date", day)
-        .withColumn("start_time", clock["start_time"])
-        .withColumn("end_time", clock["end_time"])
+        .withColumn("start_time", F.col("_clock.start_time"))
+        .withColumn("end_time", F.col("_clock.end_time"))
         .withColumn("city", F.lit("Kiel"))
         .withColumn("category", F.array_join("categories", ", "))
         .withColumn("music_label", classify.music_by_list(F.col("categories")))
@@ -129,44 +126,44 @@ def kiel_sailing_city(raw: DataFrame, asof: Column) -> DataFrame:
 
 
 def live_gigs(raw: DataFrame, asof: Column) -> DataFrame:
-    day = dates.dotted_date(F.col("day_text"))
     return _finish(
         raw.withColumn("subject", text.before_dash(F.col("title")))
         .withColumn("description", F.col("source"))
         .withColumn("start_time", times.first_six(F.col("clock")))
         .withColumn("end_time", F.lit(BLANK))
-        .withColumn("start_date", day)
-        .withColumn("end_date", day)
+        .withColumn("start_date", dates.dotted_date(F.col("day_text")))
+        .withColumn("end_date", F.col("start_date"))
         .withColumn("city", text.title_case(F.col("city")))
         .withColumn("music_label", F.lit(True))
     )
 
 
 def meine_stadt(raw: DataFrame, asof: Column) -> DataFrame:
+    second = F.col("_second")
+    without_comma = F.left(second, F.greatest(F.length(second) - 1, F.lit(0)))
     where = text.city_then_place(F.coalesce(F.col("city_location"), F.lit(BLANK)))
-    when = F.coalesce(F.col("date_time"), F.lit(BLANK))
-    second = F.get(F.split(when, " "), F.lit(1))
-    day = dates.dotted_date(F.left(second, F.greatest(F.length(second) - 1, F.lit(0))))
     return _finish(
-        raw.withColumn("start_date", day)
-        .withColumn("end_date", day)
-        .withColumn("start_time", text.word_or_blank(when, 2))
+        raw.withColumn("_when", F.coalesce(F.col("date_time"), F.lit(BLANK)))
+        .withColumn("_second", F.get(F.split("_when", " "), F.lit(1)))
+        .withColumn("_where", where)
+        .withColumn("start_date", dates.dotted_date(without_comma))
+        .withColumn("end_date", F.col("start_date"))
+        .withColumn("start_time", text.word_or_blank(F.col("_when"), 2))
         .withColumn("end_time", F.lit(BLANK))
-        .withColumn("city", where["city"])
-        .withColumn("location", where["location"])
+        .withColumn("city", F.col("_where.city"))
+        .withColumn("location", F.col("_where.location"))
         .withColumn("category", text.path_category(F.col("listing_url")))
         .withColumn("music_label", F.lit(True))
     )
 
 
 def neumuenster(raw: DataFrame, asof: Column) -> DataFrame:
-    clock = times.digits_range(F.col("clock"))
-    day = dates.date_of_timestamp_text(F.col("start_text"))
     return _finish(
-        raw.withColumn("start_date", day)
-        .withColumn("end_date", day)
-        .withColumn("start_time", F.trim(clock["start_time"]))
-        .withColumn("end_time", F.trim(clock["end_time"]))
+        raw.withColumn("_clock", times.digits_range(F.col("clock")))
+        .withColumn("start_date", dates.date_of_timestamp_text(F.col("start_text")))
+        .withColumn("end_date", F.col("start_date"))
+        .withColumn("start_time", F.trim("_clock.start_time"))
+        .withColumn("end_time", F.trim("_clock.end_time"))
         .withColumn("location", describe.name_and_address(F.col("place"), F.col("address")))
         .withColumn("city", F.lit("Neumünster"))
         .withColumn("category", F.lit(BLANK))
@@ -175,14 +172,14 @@ def neumuenster(raw: DataFrame, asof: Column) -> DataFrame:
 
 
 def rausgegangen(raw: DataFrame, asof: Column) -> DataFrame:
-    parts = text.bar_fields(F.col("date_time"))
-    day_month = dates.day_month_abbreviated(dates.second_comma_part(parts["date_text"]))
-    day = dates.next_occurrence(day_month, asof)
+    day_month = dates.day_month_abbreviated(dates.second_comma_part(F.col("_parts.date_text")))
     return _finish(
-        raw.withColumn("description", describe.source_and_price(F.col("source"), F.col("price")))
-        .withColumn("start_date", day)
-        .withColumn("end_date", day)
-        .withColumn("start_time", parts["time_text"])
+        raw.withColumn("_parts", text.bar_fields(F.col("date_time")))
+        .withColumn("_day_month", day_month)
+        .withColumn("description", describe.source_and_price(F.col("source"), F.col("price")))
+        .withColumn("start_date", dates.next_occurrence(F.col("_day_month"), asof))
+        .withColumn("end_date", F.col("start_date"))
+        .withColumn("start_time", F.col("_parts.time_text"))
         .withColumn("end_time", F.lit(BLANK))
         .withColumn("music_label", F.lit(True))
     )
