@@ -37,6 +37,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt_out(rows: DataFrame) -> DataFrame:
+    """Rows of a file that has fewer splits than there are cores, spread over the cores; a table
+    with enough splits is read as it lies. For columns that cost much parsing."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def from_sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """Run a view text of `views` on the given tables."""
     used = {t: table(spark, sf_dir, t) for t in TABLES if "{" + t + "}" in text}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalogue.dedup import EXACT_2
-from catalogue.registry import asof, from_sql, query, table, with_views
+from catalogue.registry import asof, dealt_out, from_sql, query, table, with_views
 from catalogue.views import EV_NEW
 from kalendra.functions import similarity, text
 from kalendra.operators import groups, similar
@@ -259,9 +259,8 @@ WORDS = "select row_seq, place, len(toks) as n, unnest(toks) as w from docs"
 )
 def jaccard_pairs(spark, sf):
     """Pairs of rows; documents of one token set are one node for the search."""
-    docs = _documents(spark, sf)
-    nodes = cut_lineage(docs.groupBy("toks").agg(F.min("row_seq").alias("node")))
-    rows = cut_lineage(docs.join(nodes, "toks").select("node", "row_seq"))
+    docs = cut_lineage(_documents(spark, sf))
+    nodes, rows = groups.token_nodes(docs, ["toks"], "row_seq")
     edges = similar.token_edges(nodes, ["toks"], 80)
     same = nodes.filter(F.size("toks") > 0).select(
         F.col("node").alias("src"), F.col("node").alias("dst")
@@ -277,8 +276,8 @@ def jaccard_pairs(spark, sf):
 
 
 def _documents(spark, sf):
-    docs = table(spark, sf, "documents")
-    tokens = text.token_set(text.normalised(F.col("text")))
+    docs = dealt_out(table(spark, sf, "documents"))
+    tokens = text.word_set(F.col("text"))
     return docs.select(
         F.col("doc_id").alias("row_seq"), tokens.alias("toks"), F.array("lang").alias("place")
     )
@@ -297,7 +296,7 @@ def jaccard_score(spark, sf):
     docs, items = table(spark, sf, "documents"), table(spark, sf, "benchmark")
 
     def tokens(column):
-        return text.token_set(text.normalised(F.col(column)))
+        return text.word_set(F.col(column))
 
     paired = docs.alias("d").join(items.alias("b"), F.expr("b.item_id = d.doc_id % 40"))
     sets = paired.select("doc_id", tokens("d.text").alias("a"), tokens("b.text").alias("b"))

@@ -294,7 +294,7 @@ from items
 def _programmes(spark, sf):
     lines = from_sql(spark, sf, SECTION_LINES)
     entry = F.concat("heading", "clock", F.lit("\n"), "line", F.lit("\n"), "role")
-    gathered = F.array_sort(F.collect_list(F.struct("turn", entry.alias("e"))))
+    gathered = F.sort_array(F.collect_list(F.struct("turn", entry.alias("e"))))
     return (
         lines.groupBy(F.col("conv_id").alias("page_id"))
         .agg(gathered.alias("es"))

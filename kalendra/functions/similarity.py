@@ -7,49 +7,13 @@ floating point.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-# A text of at most this many letters fits the bits of one long with room for a carry.
-WORD_LETTERS = 62
-
-
-def _bit(position: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("long"), position)
-
-
-def _lcs_by_bits(a: Column, b: Column) -> Column:
-    """Bit-parallel longest common subsequence (Hyyrö 2004): one row of the table is one long, in
-    which a zero bit marks a letter of b that lengthens the sequence."""
-    ones = _bit(F.length(b)) - 1
-    places = F.sequence(F.lit(1), F.length(b))
-
-    def occurrences(letter: Column) -> Column:
-        def add(mask: Column, j: Column) -> Column:
-            here = F.substring(b, j, F.lit(1)) == letter
-            return F.when(here, mask.bitwiseOR(_bit(j - 1))).otherwise(mask)
-
-        return F.aggregate(places, F.lit(0).cast("long"), add)
-
-    def next_row(state: Column, letter: Column) -> Column:
-        hit = F.aggregate(
-            F.array(occurrences(letter)),
-            F.lit(0).cast("long"),
-            lambda _, mask: state.bitwiseAND(mask),
-        )
-        return F.aggregate(
-            F.array(hit), state, lambda v, u: (v + u).bitwiseOR(v - u).bitwiseAND(ones)
-        )
-
-    letters = F.transform(
-        F.sequence(F.lit(1), F.length(a)), lambda i: F.substring(a, i, F.lit(1))
-    )
-    return F.length(b) - F.bit_count(F.aggregate(letters, ones, next_row))
-
-
-def _lcs_by_rows(a: Column, b: Column) -> Column:
-    """The dynamic-programming table folded row by row, for texts of any length."""
+def lcs_length(a: Column, b: Column) -> Column:
+    """Longest common subsequence by folding the dynamic-programming rows over the letters of a."""
     start = F.array_repeat(F.lit(0), F.length(b) + 1)
     columns = F.sequence(F.lit(1), F.length(b))
 
@@ -65,16 +29,31 @@ def _lcs_by_rows(a: Column, b: Column) -> Column:
     letters = F.transform(
         F.sequence(F.lit(1), F.length(a)), lambda i: F.substring(a, i, F.lit(1))
     )
-    return F.element_at(F.aggregate(letters, start, next_row), -1)
+    table = F.aggregate(letters, start, next_row)
+    return F.when((F.length(a) == 0) | (F.length(b) == 0), F.lit(0)).otherwise(
+        F.element_at(table, -1)
+    )
 
 
-def lcs_length(a: Column, b: Column) -> Column:
-    """Length of the longest common subsequence."""
-    return (
-        F.when((F.length(a) == 0) | (F.length(b) == 0), F.lit(0))
-        .when(F.length(b) <= WORD_LETTERS, _lcs_by_bits(a, b))
-        .otherwise(_lcs_by_rows(a, b))
-    )
+def lcs_length_batched(a: Column, b: Column) -> Column:
+    """`lcs_length` for many pairs: an Arrow-batched function that keeps a table row in the bits of
+    one integer (Hyyrö 2004), about a hundred times faster than the folded expression."""
+
+    def lengths(left: pd.Series, right: pd.Series) -> pd.Series:
+        def common(x: str, y: str) -> int:
+            places: dict[str, int] = {}
+            for i, letter in enumerate(y):
+                places[letter] = places.get(letter, 0) | (1 << i)
+            ones = (1 << len(y)) - 1
+            row = ones
+            for letter in x:
+                hit = row & places.get(letter, 0)
+                row = ((row + hit) | (row - hit)) & ones
+            return len(y) - row.bit_count()
+
+        return pd.Series([common(x, y) for x, y in zip(left, right, strict=True)], dtype="int32")
+
+    return F.pandas_udf(lengths, "int")(a, b)
 
 
 def indel_distance(a: Column, b: Column) -> Column:
@@ -88,24 +67,52 @@ def ratio(a: Column, b: Column) -> Column:
     return F.coalesce(score, F.lit(0.0))
 
 
+def indel_budget(a: Column, b: Column, slack_percent: int) -> Column:
+    """Largest indel distance at which ratio(a, b) > 1 - slack_percent/100."""
+    return F.floor(((F.length(a) + F.length(b)) * slack_percent - 1) / 100).cast("int")
+
+
+def letter_bits(text: Column) -> Column:
+    """64 bits, one for every (letter, how many-eth of its kind), shared by hashing.
+
+    Inserting or deleting one letter changes at most one bit, so the number of differing bits of
+    two texts never exceeds their indel distance.
+    """
+
+    def add(bits: Column, i: Column) -> Column:
+        head = F.substring(text, F.lit(1), i)
+        letter = F.substring(text, i, F.lit(1))
+        nth = F.length(head) - F.length(F.replace(head, letter, F.lit("")))
+        place = F.pmod(F.xxhash64(letter, nth), F.lit(64)).cast("int")
+        return bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), place))
+
+    places = F.filter(F.sequence(F.lit(0), F.length(text)), lambda i: i > 0)
+    return F.aggregate(places, F.lit(0).cast("long"), add)
+
+
+def may_be_above(
+    a: Column, b: Column, bits_a: Column, bits_b: Column, slack_percent: int
+) -> Column:
+    """Cheap necessary conditions of `ratio_above`, in generated code: letter bits first, then the
+    edit distance, which is never larger than the indel distance and stops at the budget."""
+    limit = indel_budget(a, b, slack_percent)
+    within = F.call_function("levenshtein", a, b, limit) >= 0
+    return (a == b) | ((F.bit_count(bits_a.bitwiseXOR(bits_b)) <= limit) & within)
+
+
 def ratio_above(a: Column, b: Column, slack_percent: int) -> Column:
     """ratio(a, b) > 1 - slack_percent/100, exactly.
 
-    Edit distance brackets indel distance: lev <= indel <= 2*lev. The bounded built-in decides most
-    pairs; only those in between pay for the LCS.
+    Edit distance brackets indel distance: lev <= indel <= 2*lev. It decides most pairs; only those
+    in between pay for the LCS.
     """
-    total = F.length(a) + F.length(b)
-    budget = total * slack_percent  # similar iff 100 * indel < budget
+    budget = (F.length(a) + F.length(b)) * slack_percent  # similar iff 100 * indel < budget
     lev = F.levenshtein(a, b)
-    gap = F.abs(F.length(a) - F.length(b))
-    exact = 100 * indel_distance(a, b) < budget
     return F.coalesce(
-        F.when(total == 0, F.lit(True))
-        .when(a == b, F.lit(True))
-        .when(100 * gap >= budget, F.lit(False))
+        F.when(a == b, F.lit(True))
         .when(100 * lev >= budget, F.lit(False))
         .when(200 * lev < budget, F.lit(True))
-        .otherwise(exact),
+        .otherwise(100 * indel_distance(a, b) < budget),
         F.lit(False),
     )
 

@@ -64,7 +64,13 @@ def normalised(text: Column, remove_suffix: str | None = None) -> Column:
 def token_set(text: Column) -> Column:
     """Distinct blank-separated words, sorted."""
     words = F.filter(F.split(text, " "), lambda w: w != "")
-    return F.array_sort(F.array_distinct(words))
+    return F.sort_array(F.array_distinct(words))
+
+
+def word_set(text: Column) -> Column:
+    """`token_set(normalised(text))` in one pass over the text."""
+    words = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}_&]+"), F.lit(0))
+    return F.sort_array(F.array_distinct(words))
 
 
 def token_text(text: Column) -> Column:

@@ -75,7 +75,7 @@ def collapse_colocated(
         .groupBy(*keys)
         .agg(
             F.min_by(F.struct(*rest), F.col(order)).alias("_head"),
-            F.array_sort(F.collect_list(F.struct(F.col(order).alias("seq"), line.alias("line"))))
+            F.sort_array(F.collect_list(F.struct(F.col(order).alias("seq"), line.alias("line"))))
             .alias("_lines"),
             (F.count(F.lit(1)) - 1).cast("int").alias("counter"),
         )

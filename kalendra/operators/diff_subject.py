@@ -71,7 +71,7 @@ def _old_effects(base: DataFrame, old: DataFrame, id_column: str) -> DataFrame:
         .groupBy(id_column)
         .agg(
             F.max_by("effect", "old_seq").alias("last_effect"),
-            F.array_sort(
+            F.sort_array(
                 F.collect_list(F.when(F.col("trail").isNotNull(), F.struct("old_seq", "trail")))
             ).alias("trails"),
         )

@@ -35,14 +35,12 @@ def fresh_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(spark))
-
-
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise a frame in the checkpoint folder so that a loop's plan stays short and a lost
-    executor costs only re-reading files."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write a frame to the shared folder and go on from there.
+
+    A loop's plan stays short, the frame is computed once however often it is read, and a lost
+    executor costs only re-reading files.
+    """
+    folder = fresh_folder(df.sparkSession, "step")
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
