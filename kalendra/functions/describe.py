@@ -1,4 +1,7 @@
-"""Descriptions composed from other columns. `concat` yields NULL when any part is NULL."""
+"""Descriptions composed from other columns. `concat` yields NULL when any part is NULL.
+
+The wordings in quotes are fixed values.
+"""
 
 from __future__ import annotations
 

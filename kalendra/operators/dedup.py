@@ -83,6 +83,7 @@ def collapse_colocated(
     others = F.transform(
         F.slice("_lines", F.lit(2), F.greatest(F.col("counter"), F.lit(1))), lambda x: x["line"]
     )
+    # The wording of the roll-up.
     told = F.concat(
         F.col("counter").cast("string"),
         F.lit(" event(s) found at the same time/location. Please check the following:\n"),

@@ -86,6 +86,7 @@ def _told(t: str, p: str) -> tuple[Column, Column]:
         return F.col(f"{t}_{name}") != F.col(f"{p}_{name}")
 
     gone = F.col(f"{t}_subject").isNull() & F.col(f"{p}_subject").isNotNull()
+    # The wording appended to descriptions.
     old_day = F.date_format(F.col(f"{p}_start_date"), "dd.MM.yyyy")
     old_time, old_place = F.col(f"{p}_start_time"), F.col(f"{p}_location")
     updated = (
@@ -152,6 +153,7 @@ def run_counts(diffed: DataFrame) -> DataFrame:
 
 def summary_row(diffed: DataFrame, asof: Column) -> DataFrame:
     """One row telling how many events there are and what became of them."""
+    # The wording of the summary.
     told = F.format_string(
         "Gesamtzahl der Veranstaltungen: %d. \n"
         "Anzahl der gelöschten Veranstaltungen: %d.\n"

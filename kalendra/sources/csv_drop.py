@@ -20,7 +20,7 @@ WRITE_OPTIONS = {
 
 def _header_columns(line: Column) -> Column:
     """Column names of a header line, without the unnamed row index."""
-    bare = F.regexp_replace(F.regexp_replace(line, "^﻿", ""), r"[\r\n]+$", "")
+    bare = F.regexp_replace(F.regexp_replace(line, "^\ufeff", ""), r"[\r\n]+$", "")
     names = F.transform(F.split(bare, ","), lambda c: F.btrim(F.trim(c), F.lit('"')))
     return F.filter(names, lambda c: (c != "") & ~c.startswith("Unnamed:"))
 
@@ -89,7 +89,7 @@ def _text_schema(names: list[str]) -> T.StructType:
 
 
 def _read_layout(spark: SparkSession, header: str, files: list[str]) -> DataFrame:
-    names = [n.strip().strip('"') for n in header.lstrip("﻿").rstrip("\r\n").split(",")]
+    names = [n.strip().strip('"') for n in header.lstrip("\ufeff").rstrip("\r\n").split(",")]
     names = [INDEX_COLUMN if n == "" or n.startswith("Unnamed:") else n for n in names]
     reader = spark.read.schema(_text_schema(names)).option("header", True)
     frame = (

@@ -329,3 +329,18 @@ def test_dedup_is_idempotent_and_collapse_drops_null_keys(spark):
     assert sorted(map(str, once.collect())) == sorted(map(str, drop_exact(once, keys).collect()))
     collapsed = collapse_colocated(df.drop("colour")).collect()
     assert all(r.start_time and r.location and r.city for r in collapsed)
+
+
+def test_a_crowd_of_near_copies_falls_before_pairing(spark):
+    crowd = [("K", f"Jazzabend mit der Kapelle Nummer {i:03d} im Hafen", i) for i in range(200)]
+    names = sorted(set(random_subjects(random.Random(2), 40)))
+    others = [("K", s, 1000 + i) for i, s in enumerate(names)]
+    nodes = spark.createDataFrame(crowd + others, "city string, subject string, node long")
+    grams = similar._rare_grams(nodes, ["city"], "subject", 10)
+    early, rest = similar._first_survivors(grams, ["city"], 10)
+    later = similar.settle(similar._gram_pairs(rest, ["city"], 10))
+    fallen = {r.member for r in early.unionByName(later).collect()}
+    ordered = sorted((s, n) for _, s, n in crowd + others)
+    kept = {n for _, n in greedy(ordered, lambda k, n: alike(k[0], n[0], 10))}
+    assert fallen == {n for _, n in ordered} - kept
+    assert early.count() > 0
