@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kalendra.functions.describe import load_banner
 from kalendra.functions.dates import load_date_text
+from kalendra.functions.describe import load_banner
 from kalendra.operators.dedup import (
     SAME_EVENT_KEYS,
     SAME_SLOT_KEYS,
@@ -18,11 +18,17 @@ from kalendra.operators.diff_subject import diff_by_subject
 from kalendra.operators.filters import noteworthy, publish_scope
 from kalendra.operators.payload import entries
 from kalendra.operators.similar import fuzzy_dedup
+from kalendra.session import cut_lineage
 
 
 def remove_duplicates(events: DataFrame, asof: Column, order: str = "row_seq") -> DataFrame:
-    """Two exact passes, the fuzzy pass, then load date and description banner."""
-    distinct = drop_exact(drop_exact(events, SAME_EVENT_KEYS, order), SAME_SLOT_KEYS, order)
+    """Two exact passes, the fuzzy pass, then load date and description banner.
+
+    The fuzzy pass reads its input several times, so the exact passes are stored once.
+    """
+    distinct = cut_lineage(
+        drop_exact(drop_exact(events, SAME_EVENT_KEYS, order), SAME_SLOT_KEYS, order)
+    )
     return with_banner(fuzzy_dedup(distinct, order), asof)
 
 
