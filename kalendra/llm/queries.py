@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kalendra.llm import near_dedup
+from kalendra.llm import near_dedup, token_file
+
+#: A file of the public vocabularies; their folder is a parameter of the environment.
+TOKENIZER = "byte_bpe_50k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,3 +34,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query("op3_near_dedup")
 def op3_near_dedup(spark, sf_dir):
     return near_dedup.near_dups(table(spark, sf_dir, "documents"))
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
+@query("op6_token_file")
+def op6_token_file(spark, sf_dir):
+    return token_file.encode_and_read_back(table(spark, sf_dir, "documents"), tokenizer_path())

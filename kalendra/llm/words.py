@@ -179,3 +179,19 @@ def pieces(batch: pa.RecordBatch, text: str, most: int = 8 << 20) -> Iterator[pa
         b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + most, "right")) - 1)
         yield batch.slice(a, b - a)
         a = b
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the byte spans [start, end), which ascend and do not overlap."""
+    out, a = np.empty(len(starts), np.uint64), 0
+    while a < len(starts):
+        low = int(starts[a])
+        b = max(a + 1, int(np.searchsorted(ends, low + SEGMENT, "right")))
+        high = int(ends[b - 1])
+        up, down = _power_tables(high - low)
+        sums = np.zeros(high - low + 1, np.uint64)
+        np.cumsum(_LETTERS[data[low:high]] * up[: high - low], out=sums[1:])
+        s, e = starts[a:b] - low, ends[a:b] - low
+        out[a:b] = mix((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64))
+        a = b
+    return out
