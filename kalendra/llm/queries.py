@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kalendra.llm import near_dedup, token_file
+from kalendra.llm import language_id, near_dedup, token_file
 
 #: A file of the public vocabularies; their folder is a parameter of the environment.
 TOKENIZER = "byte_bpe_50k.json"
@@ -45,3 +45,8 @@ def tokenizer_path() -> str:
 @query("op6_token_file")
 def op6_token_file(spark, sf_dir):
     return token_file.encode_and_read_back(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query("op2_language_id")
+def op2_language_id(spark, sf_dir):
+    return language_id.identify(table(spark, sf_dir, "documents"))
