@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kalendra.llm import language_id, near_dedup, token_file
+from kalendra.llm import language_id, mixing, near_dedup, token_file
 
 #: A file of the public vocabularies; their folder is a parameter of the environment.
 TOKENIZER = "byte_bpe_50k.json"
@@ -50,3 +50,8 @@ def op6_token_file(spark, sf_dir):
 @query("op2_language_id")
 def op2_language_id(spark, sf_dir):
     return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op9_mixing")
+def op9_mixing(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"))
