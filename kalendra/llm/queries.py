@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kalendra.llm import language_id, mixing, near_dedup, token_file
+from kalendra.llm import decontaminate, language_id, mixing, near_dedup, token_file
 
 #: A file of the public vocabularies; their folder is a parameter of the environment.
 TOKENIZER = "byte_bpe_50k.json"
@@ -55,3 +55,10 @@ def op2_language_id(spark, sf_dir):
 @query("op9_mixing")
 def op9_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query("op1_decontaminate")
+def op1_decontaminate(spark, sf_dir):
+    return decontaminate.contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
