@@ -8,40 +8,38 @@ from pyspark.sql import functions as F
 from kalendra.session import cut_lineage
 
 
-def _toward_least(pairs: DataFrame, keep_own: bool) -> DataFrame:
-    """Every (node, other) becomes (other, least of the node's others and itself).
-
-    The least one per node is counted by a partial aggregate and stored before it is joined back, so
-    both sides of the join are plain shuffles and a node with very many others can be split.
-    """
-    least = cut_lineage(pairs.groupBy("node").agg(F.min("other").alias("m")))
-    least = least.select("node", F.least("node", "m").alias("m"))
-    moved = pairs.join(least, "node").select(F.col("other").alias("node"), F.col("m").alias("other"))
-    return moved.unionByName(least.select("node", F.col("m").alias("other"))) if keep_own else moved
-
-
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(`node`, `root`): every node of an edge with the least node of its component.
 
-    Large-star and small-star rounds (Kiveris et al. 2014), O(log² n) of them; each is stored in the
-    shared folder, and no node or edge reaches the driver. Edges with a null end are left out.
+    Large-star and small-star rounds (Kiveris et al. 2014), O(log² n) of them, on pairs of a node
+    and a smaller one. Each round is stored in the shared folder, and no node or edge reaches the
+    driver. The least neighbours are stored before they are joined by the smaller node, so that
+    both sides are plain shuffles and the many pairs of one root can be split. Edges with a null
+    end are left out.
     """
     pairs = edges.select(F.greatest(a, b).alias("node"), F.least(a, b).alias("other")).filter(
         F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))
     )
-    current, before = cut_lineage(pairs.distinct()), None
+    current = cut_lineage(pairs.distinct())
     while True:
-        state = current.agg(
-            F.count(F.lit(1)), F.sum(F.xxhash64("node", "other").cast("decimal(38,0)"))
-        ).first()
-        if state == before:
-            break
-        before = state
-        both = current.unionByName(current.select(F.col("other").alias("node"), F.col("node").alias("other")))
-        large = _toward_least(both, keep_own=False).filter(F.col("node") > F.col("other"))
-        large = cut_lineage(large.distinct())
-        small = _toward_least(large, keep_own=True).filter(F.col("node") > F.col("other"))
-        current = cut_lineage(small.distinct())
+        least = cut_lineage(
+            current.groupBy("node").agg(F.min("other").alias("m"), F.count(F.lit(1)).alias("n"))
+        )
+        below = least.select(F.col("node").alias("other"), "m")
+        large = cut_lineage(
+            current.join(below, "other", "left").select(
+                "node", F.coalesce("m", "other").alias("other"), F.col("m").isNotNull().alias("moved")
+            )
+        )
+        if large.filter("moved").isEmpty() and least.filter("n > 1").isEmpty():
+            break  # every node has one smaller neighbour, which has none
+        small = large.groupBy("node").agg(F.min("other").alias("m"))
+        others = large.join(small, "node").filter(F.col("other") != F.col("m"))
+        current = cut_lineage(
+            others.select(F.col("other").alias("node"), F.col("m").alias("other"))
+            .unionByName(small.select("node", F.col("m").alias("other")))
+            .distinct()
+        )
     roots = current.select(F.col("other").alias("node")).distinct()
     return current.select("node", F.col("other").alias("root")).unionByName(
         roots.select("node", F.col("node").alias("root"))

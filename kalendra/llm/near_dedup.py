@@ -94,10 +94,11 @@ def _binary(column, width: int) -> np.ndarray:
 
 
 def _neighbours(batches):
-    """Pairs of neighbours whose sketches look alike, enough of them to connect all such pairs.
+    """Pairs that connect all neighbours whose sketches look alike.
 
-    A row hangs below the nearest earlier row that looks like it. Of its other likes only those are
-    given out that lead from one such chain to another.
+    A row hangs below the nearest earlier row that looks like it; it is given out with the head of
+    its chain. Of its other likes only those count that lead from one chain to another, and they are
+    given out as pairs of heads.
     """
     tail = None
     for batch in batches:
@@ -124,7 +125,6 @@ def _neighbours(batches):
             free = at[chain[at] == at]
             chain[free] = free - lag
         hung = np.flatnonzero(chain != np.arange(n))
-        parent = chain.copy()
         while True:
             up = chain[chain]
             if (up == chain).all():
@@ -135,8 +135,8 @@ def _neighbours(batches):
         bridge = chain[left] != chain[right]
         a, b = chain[left[bridge]], chain[right[bridge]]
         _, one = np.unique(np.minimum(a, b) * n + np.maximum(a, b), return_index=True)
-        left = np.concatenate([parent[hung], left[bridge][one]])
-        right = np.concatenate([hung, right[bridge][one]])
+        left = np.concatenate([chain[hung], chain[left[bridge][one]]])
+        right = np.concatenate([hung, chain[right[bridge][one]]])
         tail = (ids[-NEIGHBOURS:], sketch[-NEIGHBOURS:], key[-NEIGHBOURS:])
         yield pa.RecordBatch.from_arrays(
             [pa.array(ids[left], pa.int64()), pa.array(ids[right], pa.int64())], names=["a", "b"]
