@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kalendra.llm import decontaminate, language_id, mixing, near_dedup, token_file
+from kalendra.llm import decontaminate, language_id, mixing, near_dedup, quality, token_file
 
 #: A file of the public vocabularies; their folder is a parameter of the environment.
 TOKENIZER = "byte_bpe_50k.json"
@@ -62,3 +62,8 @@ def op1_decontaminate(spark, sf_dir):
     return decontaminate.contaminated(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     )
+
+
+@query("op8_quality_rules", quality.oracle())
+def op8_quality_rules(spark, sf_dir):
+    return quality.judged(table(spark, sf_dir, "documents"))
