@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kalendra.llm import decontaminate, language_id, mixing, near_dedup, quality, token_file
+from kalendra.llm import (
+    decontaminate,
+    language_id,
+    main_text,
+    mixing,
+    near_dedup,
+    quality,
+    token_file,
+)
 
 #: A file of the public vocabularies; their folder is a parameter of the environment.
 TOKENIZER = "byte_bpe_50k.json"
@@ -67,3 +75,8 @@ def op1_decontaminate(spark, sf_dir):
 @query("op8_quality_rules", quality.oracle())
 def op8_quality_rules(spark, sf_dir):
     return quality.judged(table(spark, sf_dir, "documents"))
+
+
+@query("op7_main_text")
+def op7_main_text(spark, sf_dir):
+    return main_text.extract(table(spark, sf_dir, "pages"))
