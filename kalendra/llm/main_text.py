@@ -109,13 +109,14 @@ def blocks_of(page: str) -> list[Block]:
     path: list[tuple[str, int, bool]] = []  # open elements: name, apart, main
     parts: list[str] = []
     linked, link, heading, at = 0, 0, False, 0
+    mark = 0  # what a paragraph's own attributes say; its end may be left out, so it is not on the path
 
     def close() -> None:
         nonlocal linked
         text = " ".join("".join(parts).split())
         if text:
             _, apart, main = path[-1] if path else ("", 0, False)
-            blocks.append(Block(text, min(linked, len(text)), apart > 0, main, heading))
+            blocks.append(Block(text, min(linked, len(text)), apart + mark > 0, main, heading))
         parts.clear()
         linked = 0
 
@@ -141,6 +142,7 @@ def blocks_of(page: str) -> list[Block]:
         if name in _BLOCKS or name in _UNSEEN:
             close()
             link = 0
+            mark = mark if name == "br" else 0
             if _HEADING.match(name):
                 heading = not ends
             elif name != "br":
@@ -159,6 +161,8 @@ def blocks_of(page: str) -> list[Block]:
                 close()
             if name in _BLOCKS or name in _UNSEEN or own:
                 path.append((name, max(apart, own), main or name in MAIN))
+        elif name in _BLOCKS and name not in VOID and name in LOOSE:
+            mark = _is_apart(name, rest, bool(path and path[-1][2]))
     if at < len(page):
         read(page[at:])
     close()

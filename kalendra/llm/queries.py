@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from kalendra.llm import (
     decontaminate,
     language_id,
+    line_dedup,
     main_text,
     mixing,
     near_dedup,
@@ -80,3 +81,8 @@ def op8_quality_rules(spark, sf_dir):
 @query("op7_main_text")
 def op7_main_text(spark, sf_dir):
     return main_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op5_line_dedup")
+def op5_line_dedup(spark, sf_dir):
+    return line_dedup.repeated_lines(table(spark, sf_dir, "documents"))
