@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from kalendra.llm import (
     decontaminate,
     language_id,
+    licenses,
     line_dedup,
     main_text,
     mixing,
     near_dedup,
     quality,
+    secrets,
     token_file,
 )
 
@@ -86,3 +88,13 @@ def op7_main_text(spark, sf_dir):
 @query("op5_line_dedup")
 def op5_line_dedup(spark, sf_dir):
     return line_dedup.repeated_lines(table(spark, sf_dir, "documents"))
+
+
+@query("op4_secret_scan")
+def op4_secret_scan(spark, sf_dir):
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op10_license_scan")
+def op10_license_scan(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
