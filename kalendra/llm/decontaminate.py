@@ -1,9 +1,10 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 Every n-gram of the test items is counted over all documents. The rarer half of an item's n-grams
-are its seeds, so an item always has seeds, however often it was copied. Seeds join passages of the
-documents to items, and a local alignment of words scores how much of the item a passage holds, also
-where words were changed, added or left out.
+that occur are rare seeds, so an item always has some, however often it was copied. A passage meets
+an item where they share a rare seed, or two n-grams of any kind, as an edited copy may have kept
+only those that other copies have, too. A local alignment of words then scores how much of the item
+the passage holds, also where words were changed, added or left out.
 
 Documents are read twice and never shuffled: a bit table of fixed size tells which n-grams can be
 those of an item, and only these leave a task.
@@ -124,25 +125,25 @@ def _count(table: np.ndarray):
 
 
 def seeds_of(items: DataFrame, docs: DataFrame) -> DataFrame:
-    """(`gram`, `item_id`): the rarer half of each item's n-grams by the number of documents that
-    hold them, ties included."""
+    """(`gram`, `item_id`, `rare`): each item's n-grams that occur in documents, and whether one is
+    among the rarer half of them by the number of documents, ties included."""
     grams = cut_lineage(items.select("item_id", F.explode("grams").alias("gram")).distinct())
     table = _bit_table(grams.select("gram"))
     seen = docs.mapInArrow(_count(table), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    counted = grams.join(seen, "gram", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    counted = grams.join(seen, "gram")
     # An item's n-grams fit in a row, so a window over them is small.
     item = Window.partitionBy("item_id")
     rank = F.rank().over(item.orderBy("n"))
     return (
         counted.withColumn("rank", rank)
         .withColumn("all", F.count(F.lit(1)).over(item))
-        .filter(2 * (F.col("rank") - 1) < F.col("all"))
-        .select("gram", "item_id")
+        .select("gram", "item_id", (2 * (F.col("rank") - 1) < F.col("all")).alias("rare"))
     )
 
 
-def _passages(table: np.ndarray, reach: int):
-    """Passages around possible seeds: `reach` words to either side, merged where they meet."""
+def _passages(table: np.ndarray, rare: np.ndarray, reach: int):
+    """Passages around possible n-grams: `reach` words to either side, merged where they meet. One
+    with a single n-gram that cannot be a rare seed is left out."""
 
     def run(batches):
         for whole in batches:
@@ -150,15 +151,20 @@ def _passages(table: np.ndarray, reach: int):
                 words = _words(batch)
                 grams, at = _grams(words)
                 hit = _possible(grams, table)
-                grams, at = grams[hit].view(np.int64), at[hit]
+                grams, at = grams[hit], at[hit]
+                seldom, grams = _possible(grams, rare), grams.view(np.int64)
+                if not len(at):
+                    continue
                 owner = words.text_of()[at]
                 apart = (np.diff(at) > 2 * reach) | (np.diff(owner) != 0)
-                starts = np.flatnonzero(np.concatenate([[True], apart])) if len(at) else at
+                starts = np.flatnonzero(np.concatenate([[True], apart]))
                 stops = np.append(starts[1:], len(at))
                 tokens = _short(words.hashes)
                 ids = batch.column("id").to_pylist()
                 doc, first, seeds, passage = [], [], [], []
                 for a, b in zip(starts.tolist(), stops.tolist(), strict=True):
+                    if b - a < 2 and not seldom[a]:
+                        continue
                     text = owner[a]
                     low = max(int(words.first[text]), int(at[a]) - reach)
                     high = min(int(words.first[text + 1]), int(at[b - 1]) + GRAM + reach)
@@ -233,15 +239,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least_score: float = LEA
     reach = items.agg(F.max(F.size("words"))).first()[0] or 0
     passages = cut_lineage(
         known.mapInArrow(
-            _passages(_bit_table(seeds.select("gram")), int(reach)),
+            _passages(
+                _bit_table(seeds.select("gram")),
+                _bit_table(seeds.filter("rare").select("gram")),
+                int(reach),
+            ),
             "doc_id long, first_word long, seeds array<long>, passage array<int>",
         )
     )
     met = (
         passages.select("doc_id", "first_word", F.explode("seeds").alias("gram"))
         .join(seeds, "gram")
-        .select("doc_id", "first_word", "item_id")
-        .distinct()
+        .groupBy("doc_id", "first_word", "item_id")
+        .agg(F.count(F.lit(1)).alias("n"), F.max("rare").alias("rare"))
+        .filter("n > 1 or rare")
+        .drop("n", "rare")
     )
     pairs = met.join(passages.drop("seeds"), ["doc_id", "first_word"]).join(
         items.select("item_id", "words"), "item_id"
