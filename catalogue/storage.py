@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from catalogue.dedup import EVENT
 from catalogue.registry import asof, from_sql, query, table, with_views
 from catalogue.views import EV_NEW, EV_OLD
+from kalendra.operators.dedup import SAME_EVENT_KEYS, drop_exact
 from kalendra.schema import CSV_COLUMNS, EVENT_COLUMNS
 from kalendra.session import fresh_folder
 from kalendra.sources import csv_drop, snapshots
@@ -21,9 +22,8 @@ def _as_csv_columns(events):
 def _drop_folder(spark, sf) -> str:
     """Three sources: one with the agreed columns, one with a row index, one with other columns."""
     folder = fresh_folder(spark, "csv-drop")
-    new = _as_csv_columns(from_sql(spark, sf, EV_NEW))
-    old = from_sql(spark, sf, EV_OLD)
-    indexed = old.select("row_seq").join(old, "row_seq")
+    new = _as_csv_columns(from_sql(spark, sf, EV_NEW).orderBy("row_seq"))
+    indexed = from_sql(spark, sf, EV_OLD).orderBy("row_seq")
     other = table(spark, sf, "customer")
     options = csv_drop.WRITE_OPTIONS
     new.write.options(**options).csv(f"{folder}/plain")
@@ -61,6 +61,28 @@ def csv_drop_rows(spark, sf):
     return rows.select(*EVENT_COLUMNS)
 
 
+@query(
+    "csv_keep_first",
+    with_views(
+        f"""
+        select * exclude (nth) from (
+            select {BLANKED}, start_date, end_date, music_label,
+                   row_number() over (partition by {", ".join(f"coalesce(cast({c} as varchar), ' ')" for c in SAME_EVENT_KEYS)}
+                                      order by file, row_seq) as nth
+            from (select 2 as file, row_seq, {EVENT} from ev_new
+                  union all by name select 1 as file, row_seq, {EVENT} from ev_old))
+        where nth = 1
+        """,
+        ev_new=EV_NEW,
+        ev_old=EV_OLD,
+    ),
+)
+def csv_keep_first(spark, sf):
+    """The first row of each event, in the order of files and lines."""
+    rows, _ = _read_all(spark, _drop_folder(spark, sf))
+    return drop_exact(rows, SAME_EVENT_KEYS).select(*EVENT_COLUMNS)
+
+
 @query(
     "csv_gate",
     """
@@ -72,7 +94,8 @@ def csv_drop_rows(spark, sf):
 )
 def csv_gate(spark, sf):
     folder = _drop_folder(spark, sf)
-    judged = csv_drop.gate(csv_drop.csv_files(spark, f"{folder}/*"), CSV_COLUMNS)
+    cells = csv_drop.read_cells(spark, f"{folder}/*")
+    judged = csv_drop.gate(csv_drop.csv_files(cells), CSV_COLUMNS)
     return judged.select(F.array_join("columns", ",").alias("columns"), "accepted").distinct()
 
 
@@ -91,7 +114,7 @@ def landing_latest(spark, sf):
 def _snapshot_folder(spark, sf) -> str:
     folder = fresh_folder(spark, "snapshots")
     old, new = from_sql(spark, sf, EV_OLD), from_sql(spark, sf, EV_NEW)
-    snapshots.promote(old.filter(F.col("city") == "ASIA"), folder, "2024-01-08")
+    snapshots.promote(new, folder, "2024-01-08")
     snapshots.promote(old, folder, "2024-01-09")
     snapshots.promote(new, folder, "2024-01-10")
     return folder

@@ -22,13 +22,6 @@ EVENT_SCHEMA = T.StructType(
 )
 EVENT_COLUMNS = EVENT_SCHEMA.fieldNames()
 
-# What the two workflows add to the event table.
-LOADED_SCHEMA = T.StructType(EVENT_SCHEMA.fields + [T.StructField("load_date", T.StringType())])
-COLOURED_SCHEMA = T.StructType(
-    EVENT_SCHEMA.fields
-    + [T.StructField("counter", T.IntegerType()), T.StructField("colour", T.IntegerType())]
-)
-
 # A CSV drop is read as text; dates and flags are cast afterwards with try_ functions.
 CSV_COLUMNS = [
     "Subject", "Start_date", "End_date", "Start_time", "End_time",
@@ -56,14 +49,23 @@ def conform(df: DataFrame, schema: T.StructType = EVENT_SCHEMA) -> DataFrame:
     )
 
 
-def typed(df: DataFrame) -> DataFrame:
-    """Cast an all-text event frame to the event types; text that does not parse becomes NULL."""
-    return conform(
+def typed(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Cast an all-text event frame to the event types; text that does not parse becomes NULL.
+    `keep` names further columns that stay as they are."""
+    cast = (
         to_canonical(df)
         .withColumn("start_date", F.try_to_date("start_date", "yyyy-MM-dd"))
         .withColumn("end_date", F.try_to_date("end_date", "yyyy-MM-dd"))
         .withColumn("music_label", F.col("music_label").try_cast("boolean"))
     )
+    have = {f.name for f in cast.schema.fields}
+    return cast.select(
+        *[
+            (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in EVENT_SCHEMA.fields
+        ],
+        *(keep or []),
+    )
 
 
 def fill_blank(df: DataFrame) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,14 +24,40 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names for intermediate data; a scratch folder only where it names
-    none."""
+    """The folder the cluster names for intermediate data; where it names none, one in the
+    warehouse, which must not be a local path unless everything runs on this machine."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    return configured or tempfile.mkdtemp(prefix="kalendra-")
+    if configured:
+        return configured.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    local = warehouse.startswith(("file:", "/"))
+    if local and not spark.conf.get("spark.master", "local").startswith("local"):
+        raise ValueError(
+            f"set spark.checkpoint.dir to a folder that all executors share; the warehouse "
+            f"{warehouse} is a path of each machine"
+        )
+    return f"{warehouse}/steps"
+
+
+def run_folder(spark: SparkSession) -> str:
+    """The folder of this application's steps; it is deleted when the application ends."""
+    folder = f"{shared_folder(spark)}/kalendra-{spark.conf.get('spark.app.id', 'run')}"
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.mkdirs(path)
+    store.deleteOnExit(path)
+    return folder
 
 
 def fresh_folder(spark: SparkSession, purpose: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    return f"{run_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a step's folder before the application ends, once its frame is no longer read."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kalendra.schema import CSV_COLUMNS, typed
+from kalendra.schema import CSV_COLUMNS, canonical_name, typed
+from kalendra.session import cut_lineage
 
-INDEX_COLUMN = "_idx"
 # A blank is a value of its own in these files and must survive writing.
 WRITE_OPTIONS = {
     "header": True,
@@ -18,41 +18,72 @@ WRITE_OPTIONS = {
 }
 
 
-def _header_columns(line: Column) -> Column:
-    """Column names of a header line, without the unnamed row index."""
-    bare = F.regexp_replace(F.regexp_replace(line, "^\ufeff", ""), r"[\r\n]+$", "")
-    names = F.transform(F.split(bare, ","), lambda c: F.btrim(F.trim(c), F.lit('"')))
-    return F.filter(names, lambda c: (c != "") & ~c.startswith("Unnamed:"))
+#: Columns that a file may have; one with more is not one of ours, and is rejected by its header.
+WIDTH = 64
 
 
-def csv_files(spark: SparkSession, path: str) -> DataFrame:
-    """`file`, `size` and `header` of every CSV file that is not empty.
+def read_cells(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """(`file`, `line_no`, `cells`) of every record of every CSV file, header lines included.
 
-    Only the beginning of each file is of interest, so the text reader is limited to the one line
-    that starts at offset 0 of the file; file contents never gather anywhere.
+    `line_no` counts records in file order, then in the order of the file, over the whole drop, so
+    it does not depend on how files are dealt to tasks. A file is read once; empty files have no
+    records. With `multi_line` a record may hold line breaks and a file is one task's work; without
+    it large files are split.
     """
-    lines = (
-        spark.read.option("pathGlobFilter", "*.csv")
-        .text(path)
-        .select(
+    names = [f"c{i}" for i in range(WIDTH)]
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    read = (
+        spark.read.schema(schema)
+        .option("pathGlobFilter", "*.csv")
+        .option("multiLine", multi_line)
+        .option("quote", '"')
+        .option("escape", '"')
+        .csv(path)
+    )
+    cells = F.array(*names)
+    last = F.array_max(F.transform(cells, lambda c, i: F.when(c.isNotNull(), i + 1)))
+    stored = cut_lineage(
+        read.select(
             F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_size").alias("size"),
             F.col("_metadata.file_block_start").alias("start"),
-            F.monotonically_increasing_id().alias("line_no"),
-            F.col("value"),
+            F.monotonically_increasing_id().alias("id"),
+            F.slice(cells, 1, F.coalesce(last, F.lit(0))).alias("cells"),
         )
-        .filter((F.col("size") > 0) & (F.col("start") == 0))
     )
-    return lines.groupBy("file", "size").agg(F.min_by("value", "line_no").alias("header"))
+    # A stretch of a file lies in one task, in order, so its records have consecutive ids.
+    stretches = stored.groupBy("file", "start").agg(
+        F.min("id").alias("first"), F.count(F.lit(1)).alias("n")
+    )
+    earlier = Window.orderBy("file", "start").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = stretches.select(
+        "file", "start", "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")
+    )
+    return stored.join(offsets, ["file", "start"]).select(
+        "file", (F.col("before") + F.col("id") - F.col("first")).alias("line_no"), "cells"
+    )
 
 
-def gate(files: DataFrame, reference_columns: list[str] | None = None) -> DataFrame:
-    """Add `columns` and `accepted`: whether a file's column set is the agreed one.
+def _named(name: Column) -> Column:
+    """A header cell without a byte-order mark."""
+    return F.trim(F.regexp_replace(name, "^\ufeff", ""))
+
+
+def csv_files(cells: DataFrame) -> DataFrame:
+    """(`file`, `header`, `first`): the header of each file and the number of its line."""
+    heads = cells.groupBy("file").agg(F.min(F.struct("line_no", "cells")).alias("head"))
+    return heads.select(
+        "file",
+        F.transform("head.cells", lambda c: F.coalesce(_named(c), F.lit(""))).alias("header"),
+        F.col("head.line_no").alias("first"),
+    )
+
 
-    Without `reference_columns` the first file by name sets the standard.
+def gate(files: DataFrame, reference_columns: list[str] | None = None) -> DataFrame:
+    """Add `columns` and `accepted`: whether a file's column set is the agreed one, an unnamed row
+    index apart. Without `reference_columns` the first file by name sets the standard.
     """
-    columns = F.array_sort(F.array_distinct(_header_columns(F.col("header"))))
-    with_columns = files.withColumn("columns", columns)
+    named = F.filter("header", lambda c: (c != "") & ~c.startswith("Unnamed:"))
+    with_columns = files.withColumn("columns", F.array_sort(F.array_distinct(named)))
     if reference_columns is not None:
         agreed = F.array_sort(F.array(*[F.lit(c) for c in reference_columns]))
         return with_columns.withColumn("accepted", F.col("columns") == agreed)
@@ -61,45 +92,29 @@ def gate(files: DataFrame, reference_columns: list[str] | None = None) -> DataFr
 
 
 def read_event_csvs(
-    spark: SparkSession, path: str, reference_columns: list[str] | None = None
+    spark: SparkSession,
+    path: str,
+    reference_columns: list[str] | None = None,
+    multi_line: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
-    """(accepted event rows with `row_seq`, rejected files).
+    """(accepted event rows with `row_seq` in file and line order, rejected files).
 
-    Files are grouped by header, since files of one column order share one declared schema; there
-    are as many reads as distinct headers, however many files there are.
+    Each file's own header says where its columns stand, so files of any column order are read in
+    one pass, and no list of files leaves the executors.
     """
-    judged = gate(csv_files(spark, path), reference_columns)
-    layouts = (
-        judged.filter("accepted").groupBy("header").agg(F.collect_list("file").alias("files"))
-    )
-    frames = [_read_layout(spark, row["header"], row["files"]) for row in layouts.toLocalIterator()]
+    cells = read_cells(spark, path, multi_line)
+    judged = gate(csv_files(cells), reference_columns)
     rejected = judged.filter("not accepted").select("file", "columns")
-    if not frames:
-        empty = spark.createDataFrame([], _text_schema(CSV_COLUMNS))
-        return typed(empty).withColumn("row_seq", F.lit(0).cast("long")), rejected
-    text = frames[0]
-    for frame in frames[1:]:
-        text = text.unionByName(frame, allowMissingColumns=True)
-    rows = typed(text).withColumn("row_seq", F.monotonically_increasing_id())
-    return rows, rejected
-
-
-def _text_schema(names: list[str]) -> T.StructType:
-    return T.StructType([T.StructField(n, T.StringType()) for n in names])
-
-
-def _read_layout(spark: SparkSession, header: str, files: list[str]) -> DataFrame:
-    names = [n.strip().strip('"') for n in header.lstrip("\ufeff").rstrip("\r\n").split(",")]
-    names = [INDEX_COLUMN if n == "" or n.startswith("Unnamed:") else n for n in names]
-    reader = spark.read.schema(_text_schema(names)).option("header", True)
-    frame = (
-        reader.option("multiLine", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("enforceSchema", True)
-        .csv(files)
-    )
-    return frame.drop(INDEX_COLUMN)
+    accepted = judged.filter("accepted").select("file", "header", "first")
+    lower = F.transform("header", canonical)
+    rows = cells.join(accepted, "file").filter(F.col("line_no") > F.col("first"))
+    wanted = [F.get("cells", F.array_position(lower, canonical_name(c)).cast("int") - 1).alias(c) for c in CSV_COLUMNS]
+    text = rows.select(F.col("line_no").alias("row_seq"), *wanted)
+    return typed(text, keep=["row_seq"]), rejected
+
+
+def canonical(name: Column) -> Column:
+    return F.lower(F.replace(F.trim(name), F.lit(" "), F.lit("_")))
 
 
 def write_event_csvs(df: DataFrame, path: str, by_city: bool = False) -> None:

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from kalendra.operators import payload
 from kalendra.plans.workflows import remove_duplicates, snapshot_b, workflow_a, workflow_b
 from kalendra.schema import CSV_COLUMNS, EVENT_COLUMNS, EVENT_SCHEMA, conform, to_canonical
+from kalendra.session import run_folder, shared_folder
 from kalendra.sources import csv_drop, harvest, snapshots
 from test_brute_force import event_frame, events
 
@@ -56,6 +58,51 @@ def test_csv_gate(spark, tmp_path):
     assert [os.path.basename(r.file) for r in rejected.collect()] == ["c.csv"]
 
 
+@pytest.mark.parametrize("cores", [1, 4, 32])
+def test_csv_order_is_that_of_files_and_lines(spark, tmp_path, cores):
+    """Files of very different sizes and column orders, dealt to tasks in several ways."""
+    orders = {"a": CSV_COLUMNS, "b": CSV_COLUMNS[::-1], "c": CSV_COLUMNS[3:] + CSV_COLUMNS[:3]}
+    expected = []
+    for name, size in (("a", 2), ("b", 500), ("c", 20), ("d", 1)):
+        columns = orders.get(name, CSV_COLUMNS)
+        lines = [",".join(f'"{c}"' for c in columns)]
+        for k in range(size):
+            lines.append(",".join(f"{name}{k}" if c == "Subject" else "x" for c in columns))
+            expected.append(f"{name}{k}")
+        (tmp_path / f"{name}.csv").write_text("\n".join(lines) + "\n")
+    (tmp_path / "aa.csv").write_text("")
+    key = "spark.sql.files.minPartitionNum"
+    spark.conf.set(key, cores)
+    try:
+        rows, rejected = csv_drop.read_event_csvs(spark, str(tmp_path))
+        found = [r.subject for r in rows.orderBy("row_seq").collect()]
+        split, _ = csv_drop.read_event_csvs(spark, str(tmp_path), multi_line=False)
+        again = [r.subject for r in split.orderBy("row_seq").collect()]
+    finally:
+        spark.conf.unset(key)
+    assert found == expected == again and rejected.count() == 0
+
+
+def test_shared_folder_is_never_local_to_a_machine(spark):
+    class Conf(dict):
+        pass
+
+    class Session:
+        def __init__(self, **settings):
+            self.conf = Conf({k.replace("_", "."): v for k, v in settings.items()})
+
+    here = {"spark.sql.warehouse.dir": "file:/w"}
+    session = Session()
+    session.conf.update(here | {"spark.master": "local[2]"})
+    assert shared_folder(session) == "file:/w/steps"
+    session.conf.update({"spark.master": "spark://host:7077"})
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session)
+    session.conf.update({"spark.checkpoint.dir": "hdfs://x/c/"})
+    assert shared_folder(session) == "hdfs://x/c"
+    assert run_folder(spark).startswith(shared_folder(spark))
+
+
 def test_canonical_names(spark):
     df = spark.createDataFrame([(1, 2, 3)], "`Start Date` int, End_Date int, City int")
     assert to_canonical(df).columns == ["start_date", "end_date", "city"]
