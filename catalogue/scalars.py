@@ -262,8 +262,9 @@ scalar(
 
 scalar(
     "title_case",
-    "select doc_id as row_seq, upper(replace(text, 'ß', 'ss')) as x from {documents}",
-    f"{title_sql('x')} as title",
+    "select doc_id as row_seq, text as x from {documents}",
+    # A word that begins with ß begins with Ss in title case; the SQL engine has a capital ß instead.
+    f"replace({title_sql('x')}, 'ẞ', 'Ss') as title",
     title=text.title_case,
 )
 scalar(

@@ -50,15 +50,17 @@ from {part}
         f"""
         select row_seq, {lcs_sql('subject', 'c_name')} as lcs,
                round(2.0 * {lcs_sql('subject', 'c_name')} / (len(subject) + len(c_name)), 6) as ratio
-        from (select row_seq, subject, c_name from names join customer on c_custkey = row_seq % 150)
+        from (select row_seq, subject, c_name
+              from (select *, row_seq % (select count(*) from customer) as key from names)
+              join customer on c_custkey = key)
         """,
         names=NAMES,
     ),
 )
 def indel_ratio(spark, sf):
-    pairs = from_sql(spark, sf, NAMES).join(
-        table(spark, sf, "customer"), F.expr("c_custkey = row_seq % 150")
-    )
+    customers = table(spark, sf, "customer")
+    names = from_sql(spark, sf, NAMES)
+    pairs = names.join(customers, F.expr(f"c_custkey = row_seq % {customers.count()}"))
     a, b = F.col("subject"), F.col("c_name")
     return pairs.select(
         "row_seq",
@@ -163,7 +165,8 @@ def remove_all_duplicates(spark, sf):
 VECTORS = """
 select v.vec_id as row_seq, concat(p.p_name, ' ', cast(v.vec_id as string)) as subject,
        v.label as label, v.embedding as embedding
-from {embeddings} v join {part} p on p.p_partkey = v.vec_id % 200
+from (select *, vec_id % (select count(*) from {part}) as part_no from {embeddings}) v
+join {part} p on p.p_partkey = v.part_no
 """
 COSINE = "list_cosine_similarity(a.embedding, b.embedding)"
 
@@ -286,10 +289,12 @@ def _documents(spark, sf):
 @query(
     "jaccard_score",
     f"""
-    select doc_id, round(len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))), 6) as score
-    from (select d.doc_id, {tokens_sql('d.text')} as a, {tokens_sql('b.text')} as b
-          from documents d join benchmark b on b.item_id = d.doc_id % 40)
-    where len(a) + len(b) > 0
+    select doc_id, case when len(a) + len(b) = 0 then 0.0 else
+           round(len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))), 6) end as score
+    from (select doc_id, {tokens_sql('text')} as a, {tokens_sql('other')} as b
+          from (select doc_id, text, case when doc_id % 3 > 0 then (select min(text) from benchmark) else '' end as other
+                from documents)
+          union all select doc_id, [], [] from documents)
     """,
 )
 def jaccard_score(spark, sf):
@@ -298,11 +303,13 @@ def jaccard_score(spark, sf):
     def tokens(column):
         return text.word_set(F.col(column))
 
-    paired = docs.alias("d").join(items.alias("b"), F.expr("b.item_id = d.doc_id % 40"))
-    sets = paired.select("doc_id", tokens("d.text").alias("a"), tokens("b.text").alias("b"))
-    return sets.filter(F.size("a") + F.size("b") > 0).select(
-        "doc_id", F.round(similarity.jaccard(F.col("a"), F.col("b")), 6).alias("score")
+    least = items.agg(F.min("text")).scalar()
+    paired = docs.withColumn("other", F.when(F.col("doc_id") % 3 > 0, least).otherwise(""))
+    none = F.array().cast("array<string>")
+    sets = paired.select("doc_id", tokens("text").alias("a"), tokens("other").alias("b")).unionByName(
+        docs.select("doc_id", none.alias("a"), none.alias("b"))
     )
+    return sets.select("doc_id", F.round(similarity.jaccard(F.col("a"), F.col("b")), 6).alias("score"))
 
 
 # The visit-in-order grouping: pairs sorted by (src, dst), each overwriting earlier labels.
@@ -365,7 +372,8 @@ select o_orderkey as row_seq,
        concat(p.p_name, ' ', p.p_brand, ' ', p.p_type, ' halle ',
               case when o.o_orderstatus = 'F' then '(alt)' else '' end, ' nord ',
               case when o.o_orderpriority = '1-URGENT' then 'Eingang B' else '' end) as location
-from {orders} o join {part} p on p.p_partkey = o.o_custkey % 200
+from (select *, o_custkey % (select count(*) from {part}) as part_no from {orders}) o
+join {part} p on p.p_partkey = o.part_no
 """
 CANONICAL_PAIRS = """
     select src, dst from (

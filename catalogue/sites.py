@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalogue.dedup import title_sql
-from catalogue.registry import asof, for_oracle, from_sql, query, table, with_views
+from catalogue.registry import ORACLES, QUERIES, asof, for_oracle, from_sql, query, table, with_views
 from catalogue.scalars import ABBREVIATION, MONTH_NAME, NEXT
 from kalendra.functions.dates import MONTH_NAMES
 from kalendra.plans.normalise import normalise, union_sources
@@ -335,7 +335,7 @@ def normalise_unser_luebeck(spark, sf):
 
 NAVIGATION = '<li><a href="([^"]*)">([^<]*)</a></li>'
 LINKS = pages_source.Selector(
-    host=r"\.example\.com$",
+    host=r".",
     block='<li><a href="[^"]*">[^<]*</a></li>',
     fields={"link": 'href="([^"]*)"', "title": ">([^<]+)</a>"},
     required=["link", "title"],
@@ -350,7 +350,7 @@ LINKS = pages_source.Selector(
            regexp_extract(item, '>([^<]+)</a>', 1) as title, 'Kiel' as city, false as music_label
     from (select page_id, url, unnest(i) as item, generate_subscripts(i, 1) as pos
           from (select page_id, url, regexp_extract_all(html, '<li><a href="[^"]*">[^<]*</a></li>') as i
-                from pages where regexp_matches(url, '^[a-z]+://[^/]*\\.example\\.com(/|$)')))
+                from pages where regexp_matches(url, '^\w+://[^/]')))
     where regexp_matches(item, '>([^<]+)</a>')
     """,
 )
@@ -394,27 +394,21 @@ def exclude_previews(spark, sf):
     return pages_source.without_previews(shaped).select("page_id", "url")
 
 
+def _sites() -> list[str]:
+    return sorted(name for name in QUERIES if name.startswith("normalise_"))
+
+
 @query(
     "all_sources",
-    with_views(
-        """
-        select city, count(*) as n, count_if(music_label) as music from (
-            select 'Kiel' as city, st = 'F' as music_label from l
-            union all select 'Neumünster', false from l
-            union all select 'Kiel', st in ('P', 'F') from l)
-        group by city
-        """,
-        l=LISTING,
-    ),
+    "select city, count(*) as n, coalesce(count_if(music_label), 0) as music, count(start_time) as timed from ("
+    + " union all by name ".join(f"select * from ({ORACLES[name]})" for name in _sites())
+    + ") group by city",
 )
 def all_sources(spark, sf):
-    """Three sites one below the other, counted per city."""
-    from catalogue.registry import QUERIES
-
-    frames = [
-        QUERIES[f"normalise_{name}"](spark, sf)
-        for name in ("kiel_sailing_city", "neumuenster", "wasgeht")
-    ]
+    """All sites one below the other, counted per city."""
+    frames = [QUERIES[name](spark, sf) for name in _sites()]
     return union_sources(frames).groupBy("city").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if("music_label").alias("music")
+        F.count(F.lit(1)).alias("n"),
+        F.count_if("music_label").alias("music"),
+        F.count("start_time").alias("timed"),
     )

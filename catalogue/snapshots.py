@@ -394,13 +394,14 @@ def upcoming_n(spark, sf):
     with_views(
         """
         select row_seq, to_json(struct_pack(summary := subject, location := location)) as entry
-        from ev_new where subject is not null
+        from ev_new
         """,
         ev_new=EV_NEW,
     ),
 )
 def entry_json(spark, sf):
     """The nested record as JSON text, reduced to the parts that SQL renders alike."""
-    named = _numbered_entries(spark, sf).filter(F.col("subject").isNotNull())
-    record = payload.nested(named).select("row_seq", "entry.summary", "entry.location")
-    return record.select("row_seq", F.to_json(F.struct("summary", "location")).alias("entry"))
+    entries = payload.nested(_numbered_entries(spark, sf))
+    record = entries.select("row_seq", "entry.summary", "entry.location")
+    text = F.to_json(F.struct("summary", "location"), {"ignoreNullFields": "false"})
+    return record.select("row_seq", text.alias("entry"))

@@ -153,23 +153,26 @@ def snapshot_latest_named(spark, sf):
     return snapshots.latest_named(names, "old", before=20000101)
 
 
+CITY_COLUMNS = ["subject", "start_time", "location", "description", "category"]
+
+
 @query(
     "city_files",
     with_views(
-        "select city, count(*) as n from ev_new where city is not null group by city", ev_new=EV_NEW
+        f"select city, {', '.join(c for c in CITY_COLUMNS)} from ev_new", ev_new=EV_NEW
     ),
 )
 def city_files(spark, sf):
-    """One CSV folder per city, counted after reading back."""
+    """One CSV folder per city, every row read back."""
     folder = fresh_folder(spark, "city-files")
-    events = from_sql(spark, sf, EV_NEW).filter(F.col("city").isNotNull())
+    events = from_sql(spark, sf, EV_NEW)
     csv_drop.write_event_csvs(events.select(*EVENT_COLUMNS), folder, by_city=True)
     schema = "subject string, start_date string, end_date string, start_time string, " \
         "end_time string, location string, description string, category string, music_label string"
     stored = spark.read.schema(schema + ", city string").option("header", True).option(
         "escape", '"'
     ).csv(folder)
-    return stored.groupBy("city").agg(F.count(F.lit(1)).alias("n"))
+    return stored.select("city", *CITY_COLUMNS)
 
 
 @query(

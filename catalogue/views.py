@@ -25,8 +25,8 @@ select e.event_id as row_seq,
        e.props as description, e.event_type as category,
        case when e.event_type = 'signup' then null
             else e.event_type in ('view', 'purchase') end as music_label
-from {events} e
-join {part} p on p.p_partkey = e.event_id % 200
+from (select *, event_id % (select count(*) from {part}) as part_no from {events}) e
+join {part} p on p.p_partkey = e.part_no
 join {nation} n on n.n_nationkey = e.user_id % 25
 join {region} r on r.r_regionkey = n.n_regionkey
 """
