@@ -340,6 +340,7 @@ LINKS = pages_source.Selector(
     fields={"link": 'href="([^"]*)"', "title": ">([^<]+)</a>"},
     required=["link", "title"],
     constants={"city": "Kiel", "music_label": False},
+    raw=["link"],
 )
 
 

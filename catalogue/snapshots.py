@@ -386,7 +386,9 @@ def publish_batches(spark, sf):
     ),
 )
 def upcoming_n(spark, sf):
-    return filters.upcoming(_numbered_entries(spark, sf), run_ts(), 10).select("row_seq", "starts")
+    events = from_sql(spark, sf, EV_NEW).withColumn("colour", F.lit(1))
+    entries = payload.entries(events, "b", run_ts())
+    return filters.upcoming(entries, run_ts(), 10).select("row_seq", "starts")
 
 
 @query(

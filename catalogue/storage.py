@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalogue.dedup import EVENT
-from catalogue.registry import asof, from_sql, query, table, with_views
+from catalogue.registry import ASOF_TEXT, from_sql, query, table, with_views
 from catalogue.views import EV_NEW, EV_OLD
 from kalendra.operators.dedup import SAME_EVENT_KEYS, drop_exact
 from kalendra.schema import CSV_COLUMNS, EVENT_COLUMNS
@@ -128,8 +128,7 @@ def _snapshot_folder(spark, sf) -> str:
 )
 def snapshot_latest(spark, sf):
     """The newest snapshot strictly before the run day."""
-    stored = spark.read.parquet(_snapshot_folder(spark, sf))
-    return snapshots.latest_snapshot(stored, before=asof())
+    return snapshots.latest_snapshot_at(spark, _snapshot_folder(spark, sf), before=ASOF_TEXT)
 
 
 @query(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kalendra.functions.describe import mention_count
+from kalendra.session import cut_lineage
 
 # The key columns of the two exact passes and of the co-location cell.
 SAME_EVENT_KEYS = ["subject", "start_date", "start_time", "end_time", "city"]
@@ -29,8 +30,12 @@ def drop_exact(df: DataFrame, keys: list[str], order: str = "row_seq") -> DataFr
 
 
 def with_group_size(df: DataFrame, keys: list[str], out: str = "group_size") -> DataFrame:
-    """Size of each row's group; NULL where a key is NULL."""
-    sizes = df.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
+    """Size of each row's group; NULL where a key is NULL.
+
+    Sizes are stored before they are joined back: both sides of the join are then plain shuffles,
+    so the rows of a frequent key are split over tasks.
+    """
+    sizes = cut_lineage(df.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias(out)))
     return df.join(sizes, keys, "left").select(*df.columns, out)
 
 
@@ -49,7 +54,7 @@ def colocated_members(
 
     Use it where a cell may hold more text than one row should carry.
     """
-    cells = (
+    cells = cut_lineage(
         df.dropna(subset=keys)
         .groupBy(*keys)
         .agg((F.count(F.lit(1)) - 1).cast("int").alias("counter"), F.min(order).alias("first_seq"))

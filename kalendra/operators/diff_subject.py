@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kalendra.functions import classify
 from kalendra.functions.times import normalise_clock
+from kalendra.session import cut_lineage
 
 KEYS = ["city", "subject"]
 # Compared columns in order, with the names used in the trail.
@@ -102,12 +103,12 @@ def _apply(base: DataFrame, effects: DataFrame, id_column: str) -> DataFrame:
 
 def deleted_events(new: DataFrame, old: DataFrame) -> DataFrame:
     """Old rows whose (city, subject) is gone from the new snapshot."""
-    known = new.select(*KEYS).dropna().distinct()
+    known = cut_lineage(new.select(*KEYS).dropna().distinct())  # so that a frequent key can be split
     return old.dropna(subset=["city"]).join(known, KEYS, "left_anti")
 
 
 def appeared_events(new: DataFrame, old: DataFrame) -> DataFrame:
-    known = old.select(*KEYS).dropna().distinct()
+    known = cut_lineage(old.select(*KEYS).dropna().distinct())
     return new.dropna(subset=["city"]).join(known, KEYS, "left_anti")
 
 

@@ -73,12 +73,13 @@ def publish_scope(
     return scoped.filter(F.col("colour") != 11) if without_deleted else scoped
 
 
-def upcoming(df: DataFrame, now: Column, n: int = 10) -> DataFrame:
-    """The first n calendar entries from now on; an all-day entry starts with its day."""
+def upcoming(df: DataFrame, now: Column, n: int = 10, tie: str = "row_seq") -> DataFrame:
+    """The first n calendar entries from now on, ties in the order of `tie`; an all-day entry starts
+    with its day. Entries need no numbers for this, so only n rows of each task travel."""
     return (
         df.withColumn("starts", F.coalesce("start_ts", F.col("start_day").cast("timestamp_ntz")))
         .filter(F.col("starts") >= now)
-        .orderBy("starts", "entry_no")
+        .orderBy("starts", tie)
         .limit(n)
     )
 

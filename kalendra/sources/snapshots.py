@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,12 +31,31 @@ def latest_date(table: DataFrame, before: Column | None = None) -> DataFrame:
 def latest_snapshot(table: DataFrame, before: Column | None = None) -> DataFrame:
     """Rows of the newest snapshot; an empty frame with the table's columns if there is none.
 
-    The date is a scalar subquery on the partition column, so other partitions are not read.
+    The date is a scalar subquery on the partition column: rows of other partitions are not read,
+    but its own maximum looks at every file's partition value. `latest_snapshot_at` takes the date
+    from the names of the partitions instead.
     """
     newest = latest_date(table, before).scalar()
     return table.filter(F.col(SNAPSHOT) == newest)
 
 
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of a partition column by the names of its folders: one per load, no file is opened."""
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}=*")
+    store = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = store.globStatus(pattern) or []
+    return sorted(unquote(f.getPath().getName().partition("=")[2]) for f in found)
+
+
+def latest_snapshot_at(spark: SparkSession, path: str, before: str | None = None) -> DataFrame:
+    """Rows of the newest snapshot under a path, strictly before a day (ISO text) if given; an empty
+    frame if there is none. Only its folder is read."""
+    days = [d for d in partition_values(spark, path, SNAPSHOT) if before is None or d < before]
+    table = spark.read.parquet(path)
+    newest = F.lit(days[-1]).cast("date") if days else F.lit(None).cast("date")
+    return table.filter(F.col(SNAPSHOT) == newest)
+
+
 def latest_named(names: DataFrame, kind: str, before: int | None = None) -> DataFrame:
     """Newest of the table names `…_new_events_YYYYMMDD` / `…_old_events_YYYYMMDD`."""
     dated = names.select(
@@ -86,9 +107,10 @@ def land(df: DataFrame, path: str, load_ts: str) -> None:
 
 
 def latest_load(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of the newest load, known by the names of the folders."""
+    loads = partition_values(spark, path, "load_ts")
     table = spark.read.option("basePath", path).parquet(path)
-    newest = table.agg(F.max("load_ts").alias("load_ts")).scalar()
-    return table.filter(F.col("load_ts") == newest)
+    return table.filter(F.col("load_ts") == F.lit(loads[-1] if loads else None))
 
 
 def promote(new: DataFrame, path: str, day: str) -> None:
@@ -112,6 +134,9 @@ def published_ids(calendar: DataFrame) -> DataFrame:
 def publish(entries: DataFrame, path: str) -> None:
     """Full refresh of the calendar: the entries replace everything published before.
 
-    Written by batch, so that a client can replay single batches.
+    Batches lie in ranges of files, sorted, so that a client reads a single batch from one file or
+    two, and the number of files follows the size and not the number of batches.
     """
-    entries.write.mode("overwrite").partitionBy("batch_no").parquet(path)
+    entries.repartitionByRange("batch_no").sortWithinPartitions("batch_no").write.mode(
+        "overwrite"
+    ).parquet(path)

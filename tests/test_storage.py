@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kalendra.operators import payload
+from kalendra.operators.numbering import dense_number
 from kalendra.plans.workflows import remove_duplicates, snapshot_b, workflow_a, workflow_b
 from kalendra.schema import CSV_COLUMNS, EVENT_COLUMNS, EVENT_SCHEMA, conform, to_canonical
 from kalendra.session import run_folder, shared_folder
@@ -120,10 +121,33 @@ def test_harvest_skips_incomplete_items(spark):
     )
     found = harvest.harvest(pages, selector).collect()
     assert [(r.page_id, r.pos, r.title, r.city, r.music) for r in found] == [
-        (1, 0, "A &amp; B", "Kiel", True)
+        (1, 0, "A & B", "Kiel", True)
     ]
 
 
+def test_visible_text(spark):
+    html = "<b>L&uuml;beck</b> &#228;&#xE4;&#x1F600; &ndash; 5&nbsp;&euro; &amp;lt; &#0; & &unknown;"
+    (row,) = spark.range(1).select(harvest.plain_text(F.lit(html)).alias("x")).collect()
+    assert row.x == "Lübeck ää\U0001f600 – 5 € &lt; &#0; & &unknown;"
+
+
+def test_latest_by_folder_names(spark, tmp_path):
+    path = str(tmp_path / "s")
+    for day, n in (("2024-01-08", 1), ("2024-01-09", 2), ("2024-01-10", 3)):
+        snapshots.promote(spark.range(n), path, day)
+    assert snapshots.latest_snapshot_at(spark, path).count() == 3
+    assert snapshots.latest_snapshot_at(spark, path, before="2024-01-10").count() == 2
+    assert snapshots.latest_snapshot_at(spark, path, before="2024-01-01").count() == 0
+
+
+def test_dense_numbers_of_sparse_ids(spark):
+    rng = __import__("random").Random(3)
+    ids = sorted({rng.randrange(-(2**63), 2**63) for _ in range(500)} | set(range(40)))
+    df = spark.createDataFrame([(i,) for i in rng.sample(ids, len(ids))], "row_seq long")
+    got = dense_number(df, "row_seq").orderBy("row_seq").collect()
+    assert [(r.row_seq, r.row_no) for r in got] == [(x, k + 1) for k, x in enumerate(ids)]
+
+
 def test_workflows_end_to_end(spark):
     rng = __import__("random").Random(31)
     asof = F.lit("2024-01-10").cast("date")
