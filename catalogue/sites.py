@@ -351,7 +351,7 @@ LINKS = pages_source.Selector(
            regexp_extract(item, '>([^<]+)</a>', 1) as title, 'Kiel' as city, false as music_label
     from (select page_id, url, unnest(i) as item, generate_subscripts(i, 1) as pos
           from (select page_id, url, regexp_extract_all(html, '<li><a href="[^"]*">[^<]*</a></li>') as i
-                from pages where regexp_matches(url, '^\w+://[^/]')))
+                from pages where regexp_matches(url, '^[a-z]+://[^/]')))
     where regexp_matches(item, '>([^<]+)</a>')
     """,
 )

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from catalogue.dedup import EVENT
 from catalogue.registry import ASOF_TEXT, from_sql, query, table, with_views
 from catalogue.views import EV_NEW, EV_OLD
 from kalendra.operators.dedup import SAME_EVENT_KEYS, drop_exact
-from kalendra.schema import CSV_COLUMNS, EVENT_COLUMNS
-from kalendra.session import fresh_folder
+from kalendra.operators.filters import counted
+from kalendra.schema import CSV_COLUMNS, EVENT_COLUMNS, EVENT_SCHEMA, conform
+from kalendra.session import cut_lineage, fresh_folder
 from kalendra.sources import csv_drop, snapshots
 
 
@@ -186,3 +189,66 @@ def published_ids(spark, sf):
     folder = fresh_folder(spark, "calendar")
     snapshots.publish(nested(_numbered_entries(spark, sf)), folder)
     return snapshots.published_ids(spark.read.parquet(folder))
+
+
+@query(
+    "table_life_cycle",
+    with_views(
+        """
+        select unnest(['created', 'kept', 'appended', 'appended again', 'previous', 'replaced', 'truncated']) as step,
+               unnest([0, 0, new, new + old, new + old, new, 0]) as n,
+               unnest([true, true, true, true, false, true, true]) as there
+        from (select (select count(*) from ev_new) as new, (select count(*) from ev_old) as old)
+        """,
+        ev_new=EV_NEW,
+        ev_old=EV_OLD,
+    ),
+)
+def table_life_cycle(spark, sf):
+    """A table is created empty, kept, filled twice, copied as the previous one, replaced and emptied;
+    `there` tells whether the table, or the previous one before it was made, existed."""
+    name = f"events_{uuid.uuid4().hex}"
+    new, old = (conform(from_sql(spark, sf, text)) for text in (EV_NEW, EV_OLD))
+    steps = []
+
+    def note(step: str, table_name: str = name, there: bool | None = None) -> None:
+        exists = snapshots.table_exists(spark, table_name) if there is None else there
+        steps.append((step, spark.table(table_name).count(), exists))
+
+    snapshots.empty_table(spark, name, EVENT_SCHEMA)
+    note("created")
+    snapshots.ensure_table(spark, name, EVENT_SCHEMA)
+    note("kept")
+    snapshots.append_rows(new, name)
+    note("appended")
+    snapshots.append_rows(old, name)
+    note("appended again")
+    made = snapshots.bootstrap(spark.table(name), f"{name}_old")
+    note("previous", f"{name}_old", there=not made)
+    snapshots.replace_rows(new, name)
+    note("replaced")
+    snapshots.truncate(spark, name)
+    note("truncated")
+    for table_name in (name, f"{name}_old"):
+        spark.sql(f"drop table {table_name}")
+    return spark.createDataFrame(steps, "step string, n long, there boolean")
+
+
+@query(
+    "row_counts",
+    with_views(
+        f"""
+        select 'before' as stage, count(*) as n from ev_new
+        union all
+        select 'after', count(*) from (select distinct {", ".join(SAME_EVENT_KEYS)} from ev_new)
+        """,
+        ev_new=EV_NEW,
+    ),
+)
+def row_counts(spark, sf):
+    """Rows before and after a pass, counted while it runs."""
+    rows, before = counted(from_sql(spark, sf, EV_NEW), "before")
+    kept, after = counted(drop_exact(rows, SAME_EVENT_KEYS), "after")
+    cut_lineage(kept)
+    counts = [("before", before.get["n"]), ("after", after.get["n"])]
+    return spark.createDataFrame(counts, "stage string, n long")

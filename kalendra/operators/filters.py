@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from kalendra.functions.classify import initial_colour
@@ -84,5 +84,12 @@ def upcoming(df: DataFrame, now: Column, n: int = 10, tie: str = "row_seq") -> D
     )
 
 
+def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """The frame and the number of its rows (`n`), known once an action has run over the frame; the
+    rows are counted as they pass, without another job."""
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("n")), seen
+
+
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), column)
