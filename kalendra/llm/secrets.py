@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from kalendra.session import cut_lineage
 
-RUN = r"(?<![A-Za-z0-9+/_=\-])[A-Za-z0-9+/_\-]{16,}={0,2}"
+#: A run may follow '=' directly, as in NAME=value; padding is '=' at the end of a value only.
+RUN = r"(?<![A-Za-z0-9+/_\-])[A-Za-z0-9+/_\-]{16,}(?:={1,2}(?![A-Za-z0-9+/_=\-]))?"
 #: Characters before a candidate that its neighbouring words are looked for in.
 CONTEXT = 48
 #: Labelled findings of each kind that the forest is trained on, at most.
@@ -42,7 +43,12 @@ def _let(value: Column, body) -> Column:
 
 def candidates(docs: DataFrame) -> DataFrame:
     """(`doc_id`, `nth`, `token`, `before`, `after`): every candidate of every whole text with what
-    stands before and after it. A null text has none."""
+    stands before and after it; what stands before may be a candidate, too, such as the name of a
+    key. A null text has none."""
+
+    def before(tokens: Column, around: Column, i: Column) -> Column:
+        earlier = [F.coalesce(F.get(x, i - 1), F.lit("")) for x in (around, tokens)]
+        return F.right(F.concat(*earlier, F.get(around, i)), F.lit(CONTEXT))
 
     def paired(tokens: Column, around: Column) -> Column:
         return F.transform(
@@ -50,7 +56,7 @@ def candidates(docs: DataFrame) -> DataFrame:
             lambda t, i: F.struct(
                 i.alias("nth"),
                 t.alias("token"),
-                F.right(F.get(around, i), F.lit(CONTEXT)).alias("before"),
+                before(tokens, around, i).alias("before"),
                 F.left(F.get(around, i + 1), F.lit(1)).alias("after"),
             ),
         )

@@ -356,6 +356,38 @@ def test_secrets(spark):
     assert all(r.length == 40 and r.named for r in found)
 
 
+@pytest.mark.parametrize(
+    "form, key",
+    [
+        ("password={}", "Abcdef1234567890XYZ9"),
+        ("export API_TOKEN={}\n", "Zx81mQp0Lr72Ks93Vt64"),
+        ("see https://x.org/a?token={}&b=1", "Zx81mQp0Lr72Ks93Vt64"),
+        ("AWS_SECRET_ACCESS_KEY={}", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"),
+        ("secret={} end", "QWxhZGRpbjpvcGVuIHNlc2FtZQ=="),
+    ],
+)
+def test_secret_after_equals_sign(spark, form, key):
+    found = secrets.described(secrets.candidates(frame(spark, [(1, form.format(key), "en", "s", 0)])))
+    rows = {r.token: r for r in found.collect()}
+    assert rows[key].named == rows[key].assigned == 1
+    assert set(rows) <= {key, "AWS_SECRET_ACCESS_KEY"}
+
+
+def test_secrets_of_assignments(spark):
+    rng = random.Random(13)
+    rows, expected = [], set()
+    for d in range(80):
+        words = ["".join(rng.choice("etaoin") for _ in range(rng.randrange(3, 22))) for _ in range(40)]
+        text = " ".join(words)
+        if d % 4 == 0:
+            form = ("\nAWS_SECRET_ACCESS_KEY={}\n", "\nexport API_KEY={}\n", " https://x.org/a?token={} ")[d % 3]
+            text += form.format("".join(rng.choice("0123456789abcdefghXYZ") for _ in range(40)))
+            expected.add(d)
+        rows.append((d, text, "en", "s", 0))
+    found = secrets.scan(frame(spark, rows)).collect()
+    assert sorted((r.doc_id, r.length) for r in found) == sorted((d, 40) for d in expected)
+
+
 def test_quality_measures(spark):
     rows = [
         (1, "a b c d e f " * 2, "en", "s", 0),
