@@ -103,8 +103,9 @@ def described(found: DataFrame) -> DataFrame:
 
 def dictionary(docs: DataFrame) -> DataFrame:
     """(`word`): words of four letters and more that the documents use again and again, counted
-    over all of them."""
-    word = F.explode(F.split(F.lower("text"), r"[^\p{L}]+", -1)).alias("word")
+    over all of them outside the candidates, so that a copied secret makes no words."""
+    plain = F.lower(F.regexp_replace("text", RUN, " "))
+    word = F.explode(F.split(plain, r"[^\p{L}]+", -1)).alias("word")
     words = docs.select(word).filter(F.length("word") >= 4)
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(
         F.col("n") >= DICTIONARY_COUNT
@@ -127,11 +128,13 @@ def with_coverage(found: DataFrame, words: DataFrame) -> DataFrame:
 
 def sure_findings(found: DataFrame) -> DataFrame:
     """Labelled findings by strict rules: 1 where a mixed run stands in the place of a named key, 0
-    for runs of letters only, digits only, dictionary words and paths; the rest has no label."""
+    for runs of letters only, digits only, dictionary words and paths without such a place, and for
+    calls made of dictionary words; the rest has no label."""
     mixed = (F.col("digit_share") > 0.1) & (F.col("digit_share") < 0.95) & (F.col("transitions") > 0.2)
     secret = mixed & (F.col("named") == 1) & (F.col("coverage") == 0)
     one_kind = F.col("token").rlike("^[0-9]+$|^[A-Za-z]+$")
-    plain = (one_kind & (F.col("named") == 0)) | (F.col("coverage") >= 0.6)
+    other_place = (F.col("named") == 0) | ((F.col("after") == "(") & (F.col("digit_share") == 0))
+    plain = (one_kind & (F.col("named") == 0)) | ((F.col("coverage") >= 0.6) & other_place)
     path = (F.col("in_path") == 1) & (F.col("named") == 0) & (F.col("coverage") > 0.3)
     label = F.when(secret, 1.0).when(plain | path, 0.0)
     return found.withColumn("label", label).filter(F.col("label").isNotNull())

@@ -388,6 +388,22 @@ def test_secrets_of_assignments(spark):
     assert sorted((r.doc_id, r.length) for r in found) == sorted((d, 40) for d in expected)
 
 
+def test_copied_secrets_make_no_dictionary(spark):
+    rng = random.Random(14)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    keys = ["".join(rng.choice(letters) for _ in range(40)) for _ in range(6)]
+    rows = []
+    for d in range(120):
+        words = ["".join(rng.choice("etaoin") for _ in range(rng.randrange(3, 22))) for _ in range(40)]
+        text = " ".join(words) + f' token = "{keys[d % 6]}"' * (d < 60)
+        rows.append((d, text, "en", "s", 0))
+    docs = frame(spark, rows)
+    found = secrets.with_coverage(secrets.described(secrets.candidates(docs)), secrets.dictionary(docs))
+    labels = secrets.sure_findings(found.filter("named = 1")).select("label", "coverage").distinct()
+    assert [tuple(r) for r in labels.collect()] == [(1.0, 0.0)]
+    assert sorted(r.doc_id for r in secrets.scan(docs).collect()) == list(range(60))
+
+
 def test_quality_measures(spark):
     rows = [
         (1, "a b c d e f " * 2, "en", "s", 0),
