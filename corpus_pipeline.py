@@ -15,6 +15,8 @@ from kalendra.llm import decontaminate, language_id, mixing, near_dedup, token_f
 from kalendra.llm.queries import query, table, tokenizer_path
 from kalendra.session import cut_lineage
 
+#: Percent of shingles that near copies share in the second stage.
+NEAR_PERCENT = 80
 #: The rows depend on learned weights and on a tokenizer, which SQL cannot express.
 ORACLE_SQL = None
 
@@ -24,7 +26,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dedup.drop_near_dups(docs)
+    return near_dedup.drop_near_dups(docs, NEAR_PERCENT)
 
 
 def benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,6 +11,8 @@ sets, so the estimate decides only who meets, never who is linked.
 
 from __future__ import annotations
 
+from math import comb
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,9 +28,9 @@ HASHES = 96
 TREES, DEPTH, STEP = 16, 12, 6
 #: Values two neighbours share at least, and how far back along an order neighbours are compared.
 LEAST_PREFIX, NEIGHBOURS = 3, 16
-#: Sketch values compared for the estimate, and how many of them agree at least. For two texts of
-#: similarity 0.85 fewer than this agree once in 100 000 times.
-COMPARED, AGREEING = 64, 42
+#: Sketch values compared for the estimate, and the chance that two texts of the least similarity
+#: agree in fewer of them than are asked for.
+COMPARED, MISSED = 64, 3e-5
 #: Members and shingles of a part of a candidate group that meets others in one task.
 PART_MEMBERS, PART_SHINGLES = 1024, 2_000_000
 
@@ -36,6 +38,17 @@ _SALTS = mix(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963
 _FACTORS = mix(_SALTS) | np.uint64(1)
 
 
+def agreeing(least_percent: int) -> int:
+    """How many of the compared values agree at least, e.g. 42 for 85 percent."""
+    p, below, k = min(least_percent, 100) / 100, 0.0, 0
+    while k < COMPARED:
+        below += comb(COMPARED, k) * p**k * (1 - p) ** (COMPARED - k)
+        if below > MISSED:
+            break
+        k += 1
+    return k
+
+
 def _sketch(values: np.ndarray) -> np.ndarray:
     least = np.full(HASHES, np.iinfo(np.uint64).max)
     for a in range(0, len(values), 1024):
@@ -93,57 +106,61 @@ def _binary(column, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, width)
 
 
-def _neighbours(batches):
-    """Pairs that connect all neighbours whose sketches look alike.
+def _neighbours(least: int):
+    """Pairs that connect all neighbours whose sketches agree in `least` values.
 
     A row hangs below the nearest earlier row that looks like it; it is given out with the head of
     its chain. Of its other likes only those count that lead from one chain to another, and they are
     given out as pairs of heads.
     """
-    tail = None
-    for batch in batches:
-        ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-        prefix = _binary(batch.column("prefix"), 2 * DEPTH)
-        sketch = np.ascontiguousarray(_binary(batch.column("sketch"), 2 * COMPARED)[:, 1::2])
-        key = batch.column("tree").to_numpy(zero_copy_only=False).astype(np.uint64)
-        for k in range(2 * LEAST_PREFIX):
-            key = (key << np.uint64(8)) | prefix[:, k].astype(np.uint64)
-        old = 0
-        if tail is not None:
-            old = len(tail[0])
-            ids, sketch, key = (np.concatenate([t, x]) for t, x in zip(tail, (ids, sketch, key)))
-        n = len(ids)
-        lefts, rights = [], []
-        chain = np.arange(n)
-        for lag in range(1, min(NEIGHBOURS, n - 1) + 1):
-            at = np.flatnonzero(key[lag:] == key[:-lag]) + lag
-            at = at[at >= old]
-            alike = (sketch[at] == sketch[at - lag]).sum(axis=1) >= AGREEING
-            at = at[alike]
-            lefts.append(at - lag)
-            rights.append(at)
-            free = at[chain[at] == at]
-            chain[free] = free - lag
-        hung = np.flatnonzero(chain != np.arange(n))
-        while True:
-            up = chain[chain]
-            if (up == chain).all():
-                break
-            chain = up
-        left = np.concatenate(lefts) if lefts else np.empty(0, np.int64)
-        right = np.concatenate(rights) if rights else np.empty(0, np.int64)
-        bridge = chain[left] != chain[right]
-        a, b = chain[left[bridge]], chain[right[bridge]]
-        _, one = np.unique(np.minimum(a, b) * n + np.maximum(a, b), return_index=True)
-        left = np.concatenate([chain[hung], chain[left[bridge][one]]])
-        right = np.concatenate([hung, chain[right[bridge][one]]])
-        tail = (ids[-NEIGHBOURS:], sketch[-NEIGHBOURS:], key[-NEIGHBOURS:])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids[left], pa.int64()), pa.array(ids[right], pa.int64())], names=["a", "b"]
-        )
+
+    def run(batches):
+        tail = None
+        for batch in batches:
+            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            prefix = _binary(batch.column("prefix"), 2 * DEPTH)
+            sketch = np.ascontiguousarray(_binary(batch.column("sketch"), 2 * COMPARED)[:, 1::2])
+            key = batch.column("tree").to_numpy(zero_copy_only=False).astype(np.uint64)
+            for k in range(2 * LEAST_PREFIX):
+                key = (key << np.uint64(8)) | prefix[:, k].astype(np.uint64)
+            old = 0
+            if tail is not None:
+                old = len(tail[0])
+                ids, sketch, key = (np.concatenate([t, x]) for t, x in zip(tail, (ids, sketch, key)))
+            n = len(ids)
+            lefts, rights = [], []
+            chain = np.arange(n)
+            for lag in range(1, min(NEIGHBOURS, n - 1) + 1):
+                at = np.flatnonzero(key[lag:] == key[:-lag]) + lag
+                at = at[at >= old]
+                alike = (sketch[at] == sketch[at - lag]).sum(axis=1) >= least
+                at = at[alike]
+                lefts.append(at - lag)
+                rights.append(at)
+                free = at[chain[at] == at]
+                chain[free] = free - lag
+            hung = np.flatnonzero(chain != np.arange(n))
+            while True:
+                up = chain[chain]
+                if (up == chain).all():
+                    break
+                chain = up
+            left = np.concatenate(lefts) if lefts else np.empty(0, np.int64)
+            right = np.concatenate(rights) if rights else np.empty(0, np.int64)
+            bridge = chain[left] != chain[right]
+            a, b = chain[left[bridge]], chain[right[bridge]]
+            _, one = np.unique(np.minimum(a, b) * n + np.maximum(a, b), return_index=True)
+            left = np.concatenate([chain[hung], chain[left[bridge][one]]])
+            right = np.concatenate([hung, chain[right[bridge][one]]])
+            tail = (ids[-NEIGHBOURS:], sketch[-NEIGHBOURS:], key[-NEIGHBOURS:])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[left], pa.int64()), pa.array(ids[right], pa.int64())], names=["a", "b"]
+            )
+
+    return run
 
 
-def candidate_edges(nodes: DataFrame) -> DataFrame:
+def candidate_edges(nodes: DataFrame, least_percent: int) -> DataFrame:
     """(`a`, `b`): neighbours in some order that look alike. The orders are cut by range, so a crowd
     is spread over tasks; a pair that a cut separates still meets in the other orders."""
     columns = ["tree", "prefix", "doc_id"]
@@ -151,7 +168,7 @@ def candidate_edges(nodes: DataFrame) -> DataFrame:
         orders(nodes)
         .repartitionByRange(*columns)
         .sortWithinPartitions(*columns)
-        .mapInArrow(_neighbours, "a long, b long")
+        .mapInArrow(_neighbours(agreeing(least_percent)), "a long, b long")
         .distinct()
     )
 
@@ -268,7 +285,7 @@ def near_dups(docs: DataFrame, least_percent: int = 85) -> DataFrame:
             F.first("sketch").alias("sketch"),
         )
     )
-    groups = components(candidate_edges(nodes), "a", "b")
+    groups = components(candidate_edges(nodes, least_percent), "a", "b")
     sized = groups.join(
         nodes.groupBy(F.col("doc_id").alias("node")).agg(F.sum("n_shingles").alias("n_shingles")),
         "node",
