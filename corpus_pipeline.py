@@ -38,7 +38,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return token_file.encode_and_read_back(docs, tokenizer_path())
+    return token_file.encode_and_read_back(docs, tokenizer_path(), special_ids=True)
 
 
 STAGES = [

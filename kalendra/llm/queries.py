@@ -55,7 +55,9 @@ def tokenizer_path() -> str:
 
 @query("op6_token_file")
 def op6_token_file(spark, sf_dir):
-    return token_file.encode_and_read_back(table(spark, sf_dir, "documents"), tokenizer_path())
+    return token_file.encode_and_read_back(
+        table(spark, sf_dir, "documents"), tokenizer_path(), special_ids=True
+    )
 
 
 @query("op2_language_id")

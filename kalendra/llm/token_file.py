@@ -60,15 +60,19 @@ class Encoder:
     where letters, digits and other signs meet, contractions apart. So a text may be cut there, and
     each distinct piece is encoded once. Cuts are looked for among ASCII and Latin letters only and
     never beside an apostrophe; what lies between is handed to the tokenizer whole. Pieces are
-    recognised by 64-bit hashes.
+    recognised by 64-bit hashes. With `special_ids` the literal of an added token gets that token's
+    id, as the library does by default; a text that holds one is handed over whole. Without it such
+    a literal is text like any other.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_ids: bool = False):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special_ids
+        added = self.tokenizer.get_added_tokens_decoder().values() if special_ids else ()
+        self.literals = [t.content.encode() for t in added if t.content]
         self.model = self.tokenizer.model
         self.size = self.tokenizer.get_vocab_size()
         self.letters = dict(enumerate(_byte_letters()))
@@ -113,6 +117,19 @@ class Encoder:
         plain &= changes[last.clip(max=n)] == changes[(body + 1).clip(max=n)]
         return starts, plain
 
+    def _holding(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Which texts hold the literal of an added token."""
+        held = np.zeros(len(offsets) - 1, bool)
+        whole = data.tobytes() if self.literals else b""
+        for literal in self.literals:
+            at = whole.find(literal)
+            while at >= 0:
+                text = int(np.searchsorted(offsets, at, side="right")) - 1
+                inside = at + len(literal) <= offsets[text + 1]
+                held[text] |= inside
+                at = whole.find(literal, int(offsets[text + 1]) if inside else at + 1)
+        return held
+
     def _learn(self, place, keys, data, starts, ends, plain):
         """Encode pieces that are not yet known and remember them at their places."""
         flat, length = [], np.empty(len(keys), np.int64)
@@ -139,6 +156,11 @@ class Encoder:
         at, length, where = np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(n, np.int64)
         if len(data):
             starts, plain = self._cuts(data, offsets)
+            held = self._holding(data, offsets)
+            if held.any():
+                owner = np.searchsorted(offsets, starts, side="right") - 1
+                keep = ~held[owner] | (starts == offsets[owner])
+                starts, plain = starts[keep], (plain & ~held[owner])[keep]
             ends = np.append(starts[1:], len(data))
             keys, first, which = np.unique(
                 span_hashes(data, starts, ends), return_index=True, return_inverse=True
@@ -216,9 +238,9 @@ def lengths_of(rules: np.ndarray, first_symbol: int) -> np.ndarray:
     return out[first_symbol:]
 
 
-def _blocks(path: str):
+def _blocks(path: str, special_ids: bool):
     def run(batches):
-        encoder, part, number = Encoder(path), TaskContext.get().partitionId(), 0
+        encoder, part, number = Encoder(path, special_ids), TaskContext.get().partitionId(), 0
         if encoder.size >= SYMBOLS:
             raise ValueError(f"{encoder.size} ids leave no room for new symbols in two bytes")
         for whole in batches:
@@ -244,15 +266,17 @@ def _blocks(path: str):
     return run
 
 
-def write_token_file(docs: DataFrame, folder: str, tokenizer_path: str) -> None:
+def write_token_file(
+    docs: DataFrame, folder: str, tokenizer_path: str, special_ids: bool = False
+) -> None:
     """Write the ids of every text, each closed by END, in ascending doc_id order (nulls first).
 
     A null text is empty. Rows of one doc_id follow each other in the order of their texts. Other
-    columns are left out.
+    columns are left out. `special_ids`: literals of added tokens get those tokens' ids.
     """
     docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions(
         "doc_id", "text"
-    ).mapInArrow(_blocks(tokenizer_path), BLOCKS).write.option("compression", "zstd").parquet(folder)
+    ).mapInArrow(_blocks(tokenizer_path, special_ids), BLOCKS).write.option("compression", "zstd").parquet(folder)
 
 
 def decode(block: dict, first_symbol: int, wanted: range | None = None) -> list[np.ndarray]:
@@ -329,11 +353,13 @@ def token_digests(spark: SparkSession, folder: str, first_symbol: int) -> DataFr
     )
 
 
-def encode_and_read_back(docs: DataFrame, tokenizer_path: str) -> DataFrame:
+def encode_and_read_back(
+    docs: DataFrame, tokenizer_path: str, special_ids: bool = False
+) -> DataFrame:
     """Write the token files of all documents into the shared folder and digest what they hold."""
     from tokenizers import Tokenizer
 
     spark = docs.sparkSession
     folder = fresh_folder(spark, "tokens")
-    write_token_file(docs, folder, tokenizer_path)
+    write_token_file(docs, folder, tokenizer_path, special_ids)
     return token_digests(spark, folder, Tokenizer.from_file(tokenizer_path).get_vocab_size())
