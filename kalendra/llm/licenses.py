@@ -29,8 +29,53 @@ class Template:
     needed: str = ""
 
 
-# Notices as licences prescribe or projects commonly write them.
-TEMPLATES = (
+_GRANT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
+    "software and associated documentation files (the Software), to deal in the Software "
+    "without restriction, including without limitation the rights to use, copy, modify, merge, "
+    "publish, distribute, sublicense, and/or sell copies of the Software"
+)
+_PERMIT = " and to permit persons to whom the Software is furnished to do so"
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are "
+    "permitted provided that the following conditions are met"
+)
+_BSD_TWO = _BSD + (
+    " Redistributions of source code must retain the above copyright notice, this list of "
+    "conditions and the following disclaimer. Redistributions in binary form must reproduce the "
+    "above copyright notice, this list of conditions and the following disclaimer in the "
+    "documentation and/or other materials provided with the distribution."
+)
+_BSD_ADVERTISING = (
+    " All advertising materials mentioning features or use of this software must display the "
+    "following acknowledgement This product includes software developed by"
+)
+_BSD_NAME = (
+    " Neither the name of the copyright holder nor the names of its contributors may be used to "
+    "endorse or promote products derived from this software without specific prior written "
+    "permission."
+)
+_FEE = (
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+    "without fee is hereby granted"
+)
+_VERBATIM = (
+    " Free Software Foundation, Inc. Everyone is permitted to copy and distribute verbatim copies "
+    "of this license document, but changing it is not allowed."
+)
+
+
+def _gnu_notice(thing: str, kind: str, version: str) -> str:
+    return (
+        f"This {thing} is free software: you can redistribute it and/or modify it under the terms of "
+        f"the GNU {kind} Public License as published by the Free Software Foundation, either "
+        f"version {version} of the License, or (at your option) any later version."
+    )
+
+
+# Notices as licences prescribe or projects commonly write them, and the openings of
+# whole licence texts.
+_NOTICES = (
     Template("Apache-2.0", "Licensed under the Apache License, Version 2.0.", "apache 2"),
     Template(
         "Apache-2.0",
@@ -43,33 +88,152 @@ TEMPLATES = (
     ),
     Template("MIT", "Released under the MIT License.", "mit"),
     Template("MIT", "Licensed under the MIT License.", "mit"),
+    Template("MIT", _GRANT),
     Template(
         "MIT",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
-        "software and associated documentation files (the Software), to deal in the Software "
-        "without restriction, including without limitation the rights to use, copy, modify, merge, "
-        "publish, distribute, sublicense, and/or sell copies of the Software",
+        _GRANT + _PERMIT + ", subject to the following conditions: The above copyright notice and "
+        "this permission notice shall be included in all copies or substantial portions of the "
+        "Software.",
+        "substantial portions",
+    ),
+    Template("MIT-0", _GRANT + _PERMIT + ". THE SOFTWARE IS PROVIDED AS IS"),
+    Template(
+        "Apache-2.0",
+        "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND "
+        "CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION",
+        "apache 2",
+    ),
+    # The opening alone does not tell how many clauses follow.
+    Template("BSD", _BSD),
+    Template("BSD-2-Clause", _BSD_TWO),
+    Template("BSD-3-Clause", _BSD_TWO + _BSD_NAME, "endorse promote"),
+    Template("BSD-4-Clause", _BSD_TWO + _BSD_ADVERTISING + _BSD_NAME, "endorse advertising"),
+    Template("0BSD", _FEE),
+    Template(
+        "ISC",
+        _FEE + ", provided that the above copyright notice and this permission notice appear in all "
+        "copies.",
+        "provided appear",
+    ),
+    Template(
+        "MPL-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a "
+        "copy of the MPL was not distributed with this file, You can obtain one at "
+        "https://mozilla.org/MPL/2.0/.",
+        "mozilla 2",
+    ),
+    Template(
+        "MPL-2.0",
+        "Mozilla Public License Version 2.0 1. Definitions 1.1. Contributor means each individual or "
+        "legal entity that creates, contributes to the creation of, or owns Covered Software.",
+        "mozilla 2",
     ),
     Template(
-        "GPL-3.0", "This work is licensed under the GNU General Public License, version 3.", "gnu 3"
+        "EPL-2.0",
+        "This program and the accompanying materials are made available under the terms of the "
+        "Eclipse Public License 2.0 which is available at",
+        "eclipse 2",
     ),
+    Template(
+        "EPL-1.0",
+        "This program and the accompanying materials are made available under the terms of the "
+        "Eclipse Public License v1.0 which accompanies this distribution",
+        "eclipse v1",
+    ),
+    Template(
+        "EPL-2.0",
+        "Eclipse Public License v 2.0 THE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE TERMS OF THIS "
+        "ECLIPSE PUBLIC LICENSE",
+        "eclipse 2",
+    ),
+    Template(
+        "Unlicense",
+        "This is free and unencumbered software released into the public domain. Anyone is free to "
+        "copy, modify, publish, use, compile, sell, or distribute this software",
+        "unencumbered",
+    ),
+    Template(
+        "CC0-1.0",
+        "To the extent possible under law, the author has waived all copyright and related or "
+        "neighboring rights to this work",
+        "waived",
+    ),
+    Template("CC0-1.0", "Creative Commons CC0 1.0 Universal", "cc0"),
+    Template("CC0-1.0", "Licensed under CC0 1.0.", "cc0"),
     Template(
         "GPL-3.0",
-        "This program is free software: you can redistribute it and/or modify it under the terms of "
-        "the GNU General Public License as published by the Free Software Foundation, either "
-        "version 3 of the License, or (at your option) any later version.",
-        "gnu",
+        "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007" + _VERBATIM,
+        "gnu 3",
     ),
     Template(
-        "BSD-3-Clause",
-        "Redistribution and use in source and binary forms, with or without modification, are "
-        "permitted provided that the following conditions are met",
+        "GPL-2.0",
+        "GNU GENERAL PUBLIC LICENSE Version 2, June 1991 Copyright (C) 1989, 1991" + _VERBATIM,
+        "gnu 2",
     ),
-    Template("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0.", "cc nc 4"),
-    Template("CC-BY-4.0", "Licensed under CC BY 4.0.", "cc by 4"),
+    Template(
+        "LGPL-3.0",
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007" + _VERBATIM,
+        "lesser 3",
+    ),
+    Template(
+        "LGPL-2.1",
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999 Copyright (C) 1991, 1999"
+        + _VERBATIM,
+        "lesser 2",
+    ),
+    Template(
+        "AGPL-3.0",
+        "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007 Copyright (C) 2007" + _VERBATIM,
+        "affero 3",
+    ),
+    Template("LGPL-2.0", _gnu_notice("library", "Library General", "2"), "library 2"),
 )
 
 
+def _families():
+    """Notices that differ by a licence's name and version only."""
+    gnu = (
+        ("GPL-3.0", "General", "3", "gnu 3"),
+        ("GPL-2.0", "General", "2", "gnu 2"),
+        ("LGPL-3.0", "Lesser General", "3", "lesser 3"),
+        ("LGPL-2.1", "Lesser General", "2.1", "lesser 2 1"),
+        ("AGPL-3.0", "Affero General", "3", "affero 3"),
+    )
+    for name, kind, version, needed in gnu:
+        yield Template(
+            name, f"This work is licensed under the GNU {kind} Public License, version {version}.", needed
+        )
+        for thing in ("program", "library"):
+            yield Template(name, _gnu_notice(thing, kind, version), needed)
+    words = {"BY": "Attribution", "NC": "NonCommercial", "SA": "ShareAlike", "ND": "NoDerivatives"}
+    for parts in ("BY", "BY-NC", "BY-SA", "BY-ND", "BY-NC-SA", "BY-NC-ND"):
+        long = "-".join(words[x] for x in parts.split("-"))
+        for version, suffix in (("4.0", "International"), ("3.0", "Unported")):
+            needed = f"{parts.replace('-', ' ')} {version[0]}"
+            yield Template(f"CC-{parts}-{version}", f"Licensed under CC {parts} {version}.", f"cc {needed}")
+            yield Template(
+                f"CC-{parts}-{version}",
+                f"This work is licensed under a Creative Commons {long} {version} {suffix} License.",
+                f"{long} {version[0]}",
+            )
+    for name, title in (
+        ("BSD-2-Clause", "BSD 2-Clause"), ("BSD-3-Clause", "BSD 3-Clause"), ("ISC", "ISC"),
+        ("MPL-2.0", "Mozilla Public License, version 2.0"), ("EPL-2.0", "Eclipse Public License 2.0"),
+    ):
+        end = "" if "License" in title else " License"
+        for verb in ("Released", "Licensed"):
+            yield Template(name, f"{verb} under the {title}{end}.", title)
+
+
+def _identifiers(names):
+    for name in sorted(set(names) - {"BSD"}):
+        yield Template(name, f"SPDX-License-Identifier: {name}", f"spdx {name}")
+
+
+TEMPLATES = (*_NOTICES, *_families())
+TEMPLATES += tuple(_identifiers(t.license for t in TEMPLATES))
+
+
 def increasing(places: list[int]) -> list[int]:
     """Which elements make a longest increasing subsequence, by piles of patience."""
     tops, at, back = [], [], [-1] * len(places)
@@ -135,6 +299,7 @@ class Scanner:
             needed = set(self._hashes(t.needed).tolist())
             hashes = self._hashes(t.text)
             self.templates.append((t.license, hashes, np.unique(_pairs(hashes)), needed))
+        self.pairs = np.unique(np.concatenate([own for _, _, own, _ in self.templates]))
 
     @staticmethod
     def _hashes(text: str) -> np.ndarray:
@@ -159,14 +324,18 @@ class Scanner:
         pairs of neighbouring words no further apart than the template is long."""
         pairs = _pairs(words.hashes)
         text = words.text_of()
+        some = np.flatnonzero(np.isin(pairs, self.pairs))
+        some = some[text[some] == text[some + 1]]
+        some_pairs = pairs[some]
         for name, template, own, needed in self.templates:
-            hits = np.flatnonzero(np.isin(pairs, own))
-            hits = hits[text[hits] == text[hits + 1]]
+            hits = some[np.isin(some_pairs, own)]
             if not len(hits):
                 continue
             apart = (np.diff(hits) > len(template)) | (np.diff(text[hits]) != 0)
             starts = np.flatnonzero(np.concatenate([[True], apart]))
             stops = np.append(starts[1:], len(hits))
+            enough = 100 * (stops - starts) >= 40 * len(own)
+            starts, stops = starts[enough], stops[enough]
             for a, b in zip(starts.tolist(), stops.tolist(), strict=True):
                 if 100 * len(np.unique(pairs[hits[a:b]])) < 40 * len(own):
                     continue  # an alignment of three quarters keeps more of the pairs together
