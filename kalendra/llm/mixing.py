@@ -9,6 +9,8 @@ are taken follows a seeded hash.
 
 from __future__ import annotations
 
+from math import gcd
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,6 +22,8 @@ WEIGHTS = (1, 2, 3)
 MOST_TIMES = 3
 #: Words of a budget that the table of reachable sums covers.
 TABLE_WORDS = 1 << 15
+#: Units of the table in which long documents are picked anew, and bits of its steps in memory.
+LONG_TABLE, TABLE_BITS = 1 << 22, 1 << 31
 #: Parts that the documents of one source and size are ranked in, so that none is ranked as a whole.
 RANK_PARTS = 256
 SPACE = r"[\x20\x09-\x0D]"
@@ -75,6 +79,40 @@ def _fill(sizes: list[int], counts: list[int], budget: int) -> list[int]:
     return taken
 
 
+def _reconsidered(sizes: list[int], taken: list[int], left: list[int], gap: int) -> list[int]:
+    """`taken` with its long documents picked anew, where that comes nearer to the budget.
+
+    sizes: descending. Documents are put back, the largest first, and a table decides over these and
+    what is left. Its unit is the common step of their sizes, or more where they are many or very
+    long; sizes are then rounded up, so the budget holds.
+    """
+    kept, free = list(taken), gap
+    for i, size in enumerate(sizes):
+        if size:
+            back = min(kept[i], max(int(free == gap), (LONG_TABLE - free) // size))
+            kept[i] -= back
+            free += back * size
+    open_ = [(i, taken[i] - kept[i] + left[i]) for i, s in enumerate(sizes) if 0 < s <= free]
+    open_ = [(i, min(n, free // sizes[i])) for i, n in open_ if n]
+    best, most = taken, free - gap
+    # A spread of the sizes often meets the budget at a fine unit; else all of them decide.
+    for some in (open_[:: max(1, len(open_) // 256)], open_) if open_ else ():
+        steps = sum(n.bit_length() for _, n in some)
+        unit = gcd(*(sizes[i] for i, _ in some))
+        bits = max(TABLE_WORDS, min(LONG_TABLE, TABLE_BITS // steps))
+        unit *= -(-free // (unit * bits))
+        scaled = [-(-sizes[i] // unit) for i, _ in some]
+        again = _fill(scaled, [n for _, n in some], free // unit)
+        total = sum(sizes[i] * k for (i, _), k in zip(some, again, strict=True))
+        if total > most:
+            best, most = list(kept), total
+            for (i, _), k in zip(some, again, strict=True):
+                best[i] += k
+        if most == free:
+            break
+    return best
+
+
 def plan(sizes: list[int], counts: list[int], budget: int) -> list[int]:
     """How many documents of each size to take, at most counts[i], for a sum near the budget."""
     order = sorted(range(len(sizes)), key=lambda i: -sizes[i])
@@ -102,6 +140,10 @@ def plan(sizes: list[int], counts: list[int], budget: int) -> list[int]:
             small, _fill([sizes_[i] for i in small], [left[i] for i in small], budget), strict=True
         ):
             taken[i] += more
+            budget -= more * sizes_[i]
+            left[i] -= more
+    if budget and any(left):
+        taken = _reconsidered(sizes_, taken, left, budget)
     out = [0] * len(sizes)
     for i, k in zip(order, taken, strict=True):
         out[i] = k
