@@ -46,6 +46,8 @@ NAMES = (
 #: must have more of them.
 LONG, SHORT = 200, 70
 STOP_LONG, STOP_MIDDLE = 0.10, 0.25
+#: Share of stop words in a page's longer blocks from which its language counts as one of the list.
+STOP_LISTED = 0.05
 #: A block with a greater share of its characters in links is not text.
 MOST_LINKED = 0.4
 
@@ -169,8 +171,14 @@ def blocks_of(page: str) -> list[Block]:
     return blocks
 
 
-def first_pass(block: Block, has_main: bool) -> bool | None:
-    """True for text, False for what is not, None where it is too short or mixed to tell."""
+def _stop_share(texts: list[str]) -> float:
+    words = [w for text in texts for w in _WORD.findall(text.lower())]
+    return sum(w in _STOPS for w in words) / len(words) if words else 0.0
+
+
+def first_pass(block: Block, has_main: bool, listed: bool = True) -> bool | None:
+    """True for text, False for what is not, None where it is too short or mixed to tell. Where the
+    page's language has no stop words here (`listed`), length and links decide."""
     if block.apart or (has_main and not block.main):
         return False
     size = len(block.text)
@@ -181,8 +189,9 @@ def first_pass(block: Block, has_main: bool) -> bool | None:
         return False
     if block.heading or size < SHORT:
         return None
-    words = _WORD.findall(block.text.lower())
-    stops = sum(w in _STOPS for w in words) / len(words) if words else 0.0
+    if not listed:
+        return True if size >= LONG else None
+    stops = _stop_share([block.text])
     if size >= LONG:
         return stops >= STOP_LONG
     return True if stops >= STOP_MIDDLE else None
@@ -215,7 +224,10 @@ def main_text(page: str | None) -> str:
     """The text blocks of a page, joined by one space; empty for a null or empty page."""
     blocks = blocks_of(page or "")
     has_main = any(b.main and not b.apart for b in blocks)
-    labels = second_pass([first_pass(b, has_main) for b in blocks])
+    told = [b for b in blocks if not (b.apart or b.heading) and len(b.text) >= SHORT]
+    told = [b.text for b in told if b.linked <= MOST_LINKED * len(b.text)]
+    listed = has_main or _stop_share(told) >= STOP_LISTED
+    labels = second_pass([first_pass(b, has_main, listed) for b in blocks])
     return " ".join(b.text for b, keep in zip(blocks, labels, strict=True) if keep)
 
 
