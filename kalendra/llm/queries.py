@@ -14,6 +14,7 @@ from kalendra.llm import (
     main_text,
     mixing,
     near_dedup,
+    prefix_trie,
     quality,
     secrets,
     token_file,
@@ -100,3 +101,8 @@ def op4_secret_scan(spark, sf_dir):
 @query("op10_license_scan")
 def op10_license_scan(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op11_prefix_trie", prefix_trie.ORACLE)
+def op11_prefix_trie(spark, sf_dir):
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
