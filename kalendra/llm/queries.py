@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from kalendra.llm import (
     decontaminate,
     language_id,
+    lexical_search,
     licenses,
     line_dedup,
     main_text,
@@ -106,3 +107,10 @@ def op10_license_scan(spark, sf_dir):
 @query("op11_prefix_trie", prefix_trie.ORACLE)
 def op11_prefix_trie(spark, sf_dir):
     return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+@query("op12_lexical_search", lexical_search.ORACLE)
+def op12_lexical_search(spark, sf_dir):
+    return lexical_search.ranked(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
