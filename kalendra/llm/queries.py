@@ -17,6 +17,7 @@ from kalendra.llm import (
     near_dedup,
     prefix_trie,
     quality,
+    quality_model,
     secrets,
     token_file,
 )
@@ -114,3 +115,10 @@ def op12_lexical_search(spark, sf_dir):
     return lexical_search.ranked(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     )
+
+
+@query("op13_quality_model")
+def op13_quality_model(spark, sf_dir):
+    return quality_model.quality(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
