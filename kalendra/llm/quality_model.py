@@ -19,7 +19,8 @@ from kalendra.llm.words import Words, pieces, shingles, text_bytes
 from kalendra.session import cut_lineage
 
 #: Labelled documents of each label that the trees are learned from, at most: those of the smallest
-#: hashes, weighted so that each label keeps its share among all labelled documents.
+#: hashes, repeated rows counted once and weighted, so that each label keeps its share among all
+#: labelled documents.
 SAMPLE_PER_LABEL = 8192
 TREES, DEPTH, BINS = 60, 4, 64
 RATE, RIDGE, LEAST_WEIGHT = 0.2, 1.0, 1.0
@@ -244,20 +245,31 @@ def train(found: DataFrame, labels: DataFrame, may_learn: Column) -> Trees | Non
         (F.avg(F.when(F.col("quality") != 0, 1.0).otherwise(0.0)) >= 0.5).alias("good")
     )
     # Stored, so that the rows of a frequent doc_id can be split in the join.
-    labelled = cut_lineage(found.filter(may_learn).join(cut_lineage(known), "doc_id"))
-    counts = {r.good: r.n for r in labelled.groupBy("good").agg(F.count(F.lit(1)).alias("n")).collect()}
+    labelled = cut_lineage(
+        found.filter(may_learn)
+        .join(cut_lineage(known), "doc_id")
+        .select("good", "x", F.xxhash64("doc_id", "x").alias("turn"))
+    )
+    counts = labelled.groupBy("good").agg(
+        F.count(F.lit(1)).alias("n"), F.approx_count_distinct("turn").alias("different")
+    )
+    counts = {r.good: r for r in counts.collect()}
     if len(counts) < 2:
         return None
     x, y, w = [], [], []
-    turn = F.xxhash64("doc_id", "x")
-    for good, n in sorted(counts.items()):
-        rows = labelled.filter(F.col("good") == good).select(turn.alias("turn"), "x")
-        some = rows.orderBy("turn").limit(SAMPLE_PER_LABEL).collect()
-        some = sorted((r.turn, bytes(r.x)) for r in some)
-        x += [np.frombuffer(b, np.float32) for _, b in some]
+    for good, count in sorted(counts.items()):
+        # About twice as many as wanted pass the bound on the hash, and repeated rows are counted.
+        bound = min(1 << 40, 2 * SAMPLE_PER_LABEL * (1 << 40) // max(count.different, 1))
+        few = labelled.filter((F.col("good") == good) & (F.pmod("turn", F.lit(1 << 40)) < bound))
+        few = few.groupBy("turn", "x").agg(F.count(F.lit(1)).alias("n"))
+        some = few.orderBy(F.pmod("turn", F.lit(1 << 40)), "turn", "x").limit(SAMPLE_PER_LABEL).collect()
+        if not some:
+            return None
+        times = np.array([r.n for r in some], float)
+        x += [np.frombuffer(bytes(r.x), np.float32) for r in some]
         y += [float(good)] * len(some)
-        w += [n / len(some)] * len(some)
-    weights = np.array(w)
+        w.append(times * (count.n / times.sum()))
+    weights = np.concatenate(w)
     return learn(np.stack(x), np.array(y), weights * (len(weights) / weights.sum()))
 
 
