@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalogue.dedup import EXACT_2
-from catalogue.registry import asof, dealt_out, from_sql, query, table, with_views
+from catalogue.registry import asof, dealt_out, for_oracle, from_sql, query, table, with_views
 from catalogue.views import EV_NEW
 from kalendra.functions import similarity, text
-from kalendra.operators import groups, similar
+from kalendra.operators import groups, similar, soft_tokens
 from kalendra.operators.dedup import SAME_EVENT_KEYS, SAME_SLOT_KEYS, drop_exact
 from kalendra.plans.workflows import remove_duplicates
 from kalendra.session import cut_lineage
@@ -114,8 +114,6 @@ def greedy_views(source: str, block: str, subject: str, pairs: str, **views: str
         select blk, node, row_number() over (partition by blk order by subject, node) as rn
         from nodes
     """
-    from catalogue.registry import for_oracle
-
     texts = {**{k: for_oracle(v) for k, v in views.items()}, "nodes": nodes, "ordered": ordered,
              "pairs": pairs}
     parts = ",\n".join(f"{name} as materialized ({sql})" for name, sql in texts.items())
@@ -384,8 +382,6 @@ CANONICAL_PAIRS = """
 
 
 def _canonical_sql() -> str:
-    from catalogue.registry import for_oracle
-
     tokens = f"array_to_string({tokens_sql('location')}, ' ')"
     return f"""
     with recursive s as materialized (
@@ -425,3 +421,40 @@ def tokens_match(spark, sf):
         F.col("p_partkey").alias("row_seq"),
         similarity.tokens_match(F.split("p_name", " ")[0], F.col("b")).alias("matches"),
     )
+
+
+# ---- token sets whose words agree up to a letter ------------------------------------------------
+
+# Part titles with slips of the pen: letters changed, left out or doubled, by part number.
+TYPOS = """
+select p_partkey as row_seq, p_brand as city,
+       concat(case p_partkey % 5 when 0 then replace(p_name, 'a', 'o') when 1 then replace(p_name, 'e', '')
+                                 when 2 then replace(p_name, 'l', 'll') else p_name end, ' ',
+              case p_partkey % 7 when 0 then replace(lower(p_type), 'p', 'b') when 1 then replace(lower(p_type), 'n', '')
+                                 else lower(p_type) end, ' ',
+              cast(p_size as string), ' ', cast(p_partkey % 13 as string)) as title
+from {part}
+"""
+TYPO_SETS = f"select city, {tokens_sql('title')} as toks, min(row_seq) as node from typos group by all"
+# The largest matching by Hall's theorem: over all sets of words of one side, the words left out of it
+# and the words of the other side that match one in it; the least sum is the size of the matching.
+SOFT_PAIRS = """
+select src, dst, matched from (
+    select src, dst, na, nb, cast(list_min(list_transform(range(1 << na),
+           lambda s: na - bit_count(s) + len(list_filter(near, lambda x: (x & s) <> 0)))) as bigint) as matched
+    from (select a.node as src, b.node as dst, len(a.toks) as na, len(b.toks) as nb,
+                 list_transform(b.toks, lambda y: cast(list_sum(list_transform(range(len(a.toks)),
+                     lambda i: case when levenshtein(a.toks[i + 1], y) <= 1 then 1 << i else 0 end)) as bigint)) as near
+          from sets a join sets b on a.city = b.city and a.node < b.node))
+where 100 * matched >= 66 * (na + nb - matched)
+"""
+
+
+@query(
+    "soft_token_pairs",
+    f"with typos as ({for_oracle(TYPOS)}), sets as materialized ({TYPO_SETS}) {SOFT_PAIRS}",
+)
+def soft_token_pairs(spark, sf):
+    titles = from_sql(spark, sf, TYPOS).withColumn("toks", text.token_set(text.normalised(F.col("title"))))
+    nodes = cut_lineage(titles.groupBy("city", "toks").agg(F.min("row_seq").alias("node")))
+    return soft_tokens.soft_token_edges(nodes, "toks", 66, ["city"])
