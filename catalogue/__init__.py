@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from catalogue import dedup, scalars, similar, sites, snapshots, storage
+from catalogue import dedup, pages, scalars, similar, sites, snapshots, storage
 from catalogue.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "dedup", "scalars", "similar", "sites", "snapshots", "storage"]
+__all__ = ["ORACLES", "QUERIES", "dedup", "pages", "scalars", "similar", "sites", "snapshots", "storage"]

@@ -40,11 +40,15 @@ COLUMNS = [
 ]
 
 
+#: The raw listing of each site, by its name.
+RAW_VIEWS: dict[str, str] = {}
+
+
 def site(name: str, raw: str, **expected: str) -> None:
     """Register `normalise_<name>`: `raw` selects the raw columns from the listing `l`; `expected`
     gives each event column in SQL over `l`. The end date defaults to the start date."""
     expected = {"end_date": expected["start_date"], **expected}
-    raw_view = f"select row_seq, {raw} from ({LISTING}) l"
+    raw_view = RAW_VIEWS[name] = f"select row_seq, {raw} from ({LISTING}) l"
     wanted = ", ".join(f"{expected[c]} as {c}" for c in COLUMNS)
 
     def run(spark, sf):
@@ -323,12 +327,16 @@ _DAY_OF_PAGE = "make_date(2024, 1 + page_id % 12, 1 + page_id % 28)"
     """,
 )
 def normalise_unser_luebeck(spark, sf):
+    return normalise("unser_luebeck", programmes_with_days(spark, sf), asof())
+
+
+def programmes_with_days(spark, sf):
+    """Each programme with the day it is for, as the site writes it."""
     month = case_of("1 + page_id % 12", MONTH_NAMES)
-    days = _programmes(spark, sf).withColumn(
+    return _programmes(spark, sf).withColumn(
         "day_text",
         F.expr(f"concat('Montag, ', cast(1 + page_id % 28 as string), '. ', {month}, ' 2024')"),
     )
-    return normalise("unser_luebeck", days, asof())
 
 
 # ---- pages -------------------------------------------------------------------------------------
