@@ -57,7 +57,7 @@ def test_random_links(spark):
     assert found(spark, links, starts) == plain(links, starts)
 
 
-@pytest.mark.parametrize("back", [None, "u0", "u70", "u99", "gone"])
+@pytest.mark.parametrize("back", [None, "u70"])
 def test_long_listing(spark, back):
     links = [(f"u{k}", f"u{k + 1}", k % 3) for k in range(99)] + [("u99", back, 5)]
     starts = [(1, "u0"), (2, "u95"), (3, "nowhere")]
