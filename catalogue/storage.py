@@ -102,6 +102,39 @@ def csv_gate(spark, sf):
     return judged.select(F.array_join("columns", ",").alias("columns"), "accepted").distinct()
 
 
+_WIDE = [f"c{k:02d}" for k in range(70)]
+_OTHER_WIDE = [*_WIDE[:64], *[f"d{k:02d}" for k in range(64, 70)]]
+
+
+@query(
+    "csv_gate_wide",
+    with_views(
+        f"""
+        select 'a' as name, '{",".join(_WIDE)}' as columns, true as accepted, count(*) as n_rows from ev_new
+        union all select 'b', '{",".join(_OTHER_WIDE)}', false, count(*) from ev_new
+        """,
+        ev_new=EV_NEW,
+    ),
+)
+def csv_gate_wide(spark, sf):
+    """Two sources of 70 columns that differ in the last six; the first one sets the standard."""
+    folder = fresh_folder(spark, "csv-wide")
+    rows = from_sql(spark, sf, EV_NEW)
+    for name, columns in (("a", _WIDE), ("b", _OTHER_WIDE)):
+        cells = [F.concat("subject", F.lit(f", {c}")).alias(c) for c in columns]
+        wide = rows.select(*cells).na.fill(" ")
+        wide.coalesce(2).write.options(**csv_drop.WRITE_OPTIONS).csv(f"{folder}/{name}")
+    cells = csv_drop.read_cells(spark, f"{folder}/*")
+    judged = csv_drop.gate(csv_drop.csv_files(cells))
+    counts = cells.groupBy("file").agg((F.count(F.lit(1)) - 1).alias("n"))
+    name = F.regexp_extract("file", "/([ab])/[^/]*$", 1).alias("name")
+    return (
+        judged.join(counts, "file")
+        .groupBy(name, F.array_join("columns", ",").alias("columns"), "accepted")
+        .agg(F.sum("n").alias("n_rows"))
+    )
+
+
 @query(
     "landing_latest",
     with_views(f"select row_seq, {EVENT} from ev_new", ev_new=EV_NEW),

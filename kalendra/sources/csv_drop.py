@@ -18,19 +18,29 @@ WRITE_OPTIONS = {
 }
 
 
-#: Columns that a file may have; one with more is not one of ours, and is rejected by its header.
-WIDTH = 64
-
+def _header_width(spark: SparkSession, path: str) -> int:
+    """The most columns that the first line of a file names; one pass over the lines, a row per file
+    and task. A quoted comma only makes the width larger than needed."""
+    lines = spark.read.option("pathGlobFilter", "*.csv").text(path)
+    commas = F.length("value") - F.length(F.replace("value", F.lit(","), F.lit("")))
+    firsts = (
+        lines.filter(F.trim("value") != "")
+        .select(
+            F.col("_metadata.file_path").alias("file"),
+            F.struct(
+                F.col("_metadata.file_block_start").alias("start"),
+                F.monotonically_increasing_id().alias("id"),
+                commas.alias("commas"),
+            ).alias("line"),
+        )
+        .groupBy("file")
+        .agg(F.min("line").alias("line"))
+    )
+    return 1 + (firsts.agg(F.max("line.commas")).first()[0] or 0)
 
-def read_cells(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """(`file`, `line_no`, `cells`) of every record of every CSV file, header lines included.
 
-    `line_no` counts records in file order, then in the order of the file, over the whole drop, so
-    it does not depend on how files are dealt to tasks. A file is read once; empty files have no
-    records. With `multi_line` a record may hold line breaks and a file is one task's work; without
-    it large files are split.
-    """
-    names = [f"c{i}" for i in range(WIDTH)]
+def _records(spark: SparkSession, path: str, multi_line: bool, width: int) -> DataFrame:
+    names = [f"c{i}" for i in range(width)]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     read = (
         spark.read.schema(schema)
@@ -42,7 +52,7 @@ def read_cells(spark: SparkSession, path: str, multi_line: bool = True) -> DataF
     )
     cells = F.array(*names)
     last = F.array_max(F.transform(cells, lambda c, i: F.when(c.isNotNull(), i + 1)))
-    stored = cut_lineage(
+    return cut_lineage(
         read.select(
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("start"),
@@ -50,6 +60,24 @@ def read_cells(spark: SparkSession, path: str, multi_line: bool = True) -> DataF
             F.slice(cells, 1, F.coalesce(last, F.lit(0))).alias("cells"),
         )
     )
+
+
+def read_cells(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """(`file`, `line_no`, `cells`) of every record of every CSV file, header lines included.
+
+    `line_no` counts records in file order, then in the order of the file, over the whole drop, so
+    it does not depend on how files are dealt to tasks. Records are read as wide as the widest header,
+    whatever that is; empty files have no records. With `multi_line` a record may hold line breaks and
+    a file is one task's work; without it large files are split.
+    """
+    width = _header_width(spark, path)
+    while True:
+        stored = _records(spark, path, multi_line, width + 1)
+        head = F.min(F.struct("start", "id", F.size("cells").alias("n")))
+        heads = stored.groupBy("file").agg(head.alias("head"))
+        if heads.filter(F.col("head.n") > width).isEmpty():
+            break
+        width *= 2  # a header that goes on in its second line
     # A stretch of a file lies in one task, in order, so its records have consecutive ids.
     stretches = stored.groupBy("file", "start").agg(
         F.min("id").alias("first"), F.count(F.lit(1)).alias("n")

@@ -44,6 +44,24 @@ def test_no_snapshot_gives_an_empty_frame(spark, tmp_path):
     assert snapshots.latest_snapshot(stored).count() == 3
 
 
+def test_csv_gate_looks_at_every_column(spark, tmp_path):
+    names = [f"c{k}" for k in range(70)]
+    (tmp_path / "a.csv").write_text(",".join(names) + "\n" + ",".join("x" * 70) + "\n")
+    (tmp_path / "b.csv").write_text(",".join(names[:64] + [f"d{k}" for k in range(6)]) + "\n")
+    (tmp_path / "c.csv").write_text("\n" + ",".join(reversed(names)) + "\n")
+    judged = csv_drop.gate(csv_drop.csv_files(csv_drop.read_cells(spark, str(tmp_path)))).collect()
+    assert {os.path.basename(r.file): r.accepted for r in judged} == {"a.csv": True, "b.csv": False, "c.csv": True}
+    assert all(len(r.columns) == 70 for r in judged)
+
+
+def test_csv_header_over_two_lines(spark, tmp_path):
+    """A header whose quoted name holds a line break has more columns than its first line."""
+    names = ['"two', 'lines"', *[f"c{k}" for k in range(30)]]
+    (tmp_path / "a.csv").write_text("x,y," + "\n".join(names[:2]) + "," + ",".join(names[2:]) + "\n")
+    files = csv_drop.csv_files(csv_drop.read_cells(spark, str(tmp_path))).collect()
+    assert [len(r.header) for r in files] == [33] and files[0].header[2] == "two\nlines"
+
+
 def test_csv_gate(spark, tmp_path):
     head = ",".join(CSV_COLUMNS)
     row = '"A, ""b""",2024-01-01,2024-01-01,10:00, ,"Line\nbreak",Kiel,d,c,True\n'
