@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from kalendra.llm.words import Words, mix, pieces, text_bytes
 from kalendra.session import cut_lineage
 
-#: Lines of fewer words are only compared as a whole: one word of so few is more than an edit.
+#: Lines of fewer words are only compared as a whole, unless a caller asks for less: one word of so few
+#: is more than an edit.
 LEAST_WORDS = 5
 _BASE = np.uint64(0xC6A4A7935BD1E995)
 _INVERSE = np.uint64(pow(0xC6A4A7935BD1E995, -1, 1 << 64))
@@ -110,15 +111,15 @@ def _first_lines(lines: DataFrame) -> DataFrame:
     return lines.groupBy("a", "b").agg(F.min(place).alias("first")).select("a", "b", "first.*")
 
 
-def _with_partner(firsts: DataFrame) -> DataFrame:
+def _with_partner(firsts: DataFrame, least_words: int) -> DataFrame:
     """(`doc_id`, `line_no`, `a`, `same`, `other`): lines that share a half with another line of
     their length (`same`) or of a length that differs by one (`other`)."""
     own = [F.struct(F.col(k).alias("key"), F.lit(0).alias("longer")) for k in ("k0", "k1")]
     shorter = [F.struct(F.col(k).alias("key"), F.lit(1).alias("longer")) for k in ("k2", "k3")]
-    of_shorter = F.when(F.col("n_words") > LEAST_WORDS, F.array(*shorter)).otherwise(
+    of_shorter = F.when(F.col("n_words") > least_words, F.array(*shorter)).otherwise(
         F.array().cast("array<struct<key:long,longer:int>>")
     )
-    keyed = firsts.filter(F.col("n_words") >= LEAST_WORDS).select(
+    keyed = firsts.filter(F.col("n_words") >= least_words).select(
         "doc_id", "line_no", "a", F.inline(F.concat(F.array(*own), of_shorter))
     )
     equal = F.sum(F.lit(1) - F.col("longer"))
@@ -236,15 +237,17 @@ def _verified(docs: DataFrame, links: DataFrame) -> DataFrame:
         links.select(F.col("near.doc_id").alias("doc_id"), F.col("near.line_no").alias("line_no"))
     )
     lists = ends.distinct().groupBy("doc_id").agg(F.collect_list("line_no").alias("numbers"))
-    lines = (
-        docs.select("doc_id", "text")
-        .join(lists, "doc_id")
-        .select("doc_id", F.split("text", "\n", -1).alias("lines"), F.explode("numbers").alias("line_no"))
-        .filter(F.col("line_no") < F.size("lines"))
-    )
-    words = F.filter(
-        F.split(F.get("lines", F.col("line_no").cast("int")), r"[\x20\x09-\x0D]+", -1), lambda w: w != ""
-    )
+
+    def picked(lines: Column) -> Column:
+        there = F.filter("numbers", lambda n: n < F.size(lines))
+        return F.transform(
+            there, lambda n: F.struct(n.alias("line_no"), F.get(lines, n.cast("int")).alias("line"))
+        )
+
+    # A text is split once, and only its wanted lines go on.
+    once = F.get(F.transform(F.array(F.split("text", "\n", -1)), picked), F.lit(0))
+    lines = docs.select("doc_id", "text").join(lists, "doc_id").select("doc_id", F.inline(once))
+    words = F.filter(F.split("line", r"[\x20\x09-\x0D]+", -1), lambda w: w != "")
     texts = cut_lineage(lines.select("doc_id", "line_no", words.alias("words")).distinct())
     left = texts.select("doc_id", "line_no", F.col("words").alias("left"))
     right = texts.select(F.struct("doc_id", "line_no").alias("near"), F.col("words").alias("right"))
@@ -257,13 +260,14 @@ def _verified(docs: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
-def repeated_lines(docs: DataFrame) -> DataFrame:
+def repeated_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """(`doc_id`, `line_no`, `like_doc_id`, `like_line_no`, `edits`): every line that is within one
     edit of an earlier line, with the earliest such line; `edits` is 0 for an equal one.
 
     Lines end at line feeds and count from 0; words stand between ASCII white space, and a line
-    without words is no line. Order is by doc_id, then by line. A line of fewer than LEAST_WORDS
-    words is only matched by an equal one. A null text has no lines, rows without doc_id take no
+    without words is no line. Order is by doc_id, then by line. A line of fewer than `least_words`
+    words is only matched by an equal one. Texts of any length are read whole, and a text's lines are
+    compared wherever they are many. An empty table has no lines. A null text has no lines, rows without doc_id take no
     part, and rows that share a doc_id count as one document. Other columns are ignored.
     """
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(
@@ -271,7 +275,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     )
     lines = cut_lineage(known.mapInArrow(_line_rows, f"{_LINE}, {_KEYS}"))
     firsts = cut_lineage(_first_lines(lines))
-    wanted = cut_lineage(_with_partner(firsts))
+    wanted = cut_lineage(_with_partner(firsts, least_words))
     variants = cut_lineage(
         _wanted_texts(known, wanted).mapInArrow(
             _variant_rows, "key long, kind int, doc_id long, line_no long"
@@ -297,9 +301,9 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     )
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
+def without_repeats(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """`docs` with the repeated lines taken out of their texts."""
-    gone = repeated_lines(docs).groupBy("doc_id").agg(F.collect_set("line_no").alias("__gone"))
+    gone = repeated_lines(docs, least_words).groupBy("doc_id").agg(F.collect_set("line_no").alias("__gone"))
     kept = F.filter(
         F.split("text", "\n", -1), lambda line, i: ~F.array_contains("__gone", i.cast("long"))
     )
