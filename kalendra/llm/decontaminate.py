@@ -1,27 +1,33 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-Every n-gram of the test items is counted over all documents. The rarer half of an item's n-grams
-that occur are rare seeds, so an item always has some, however often it was copied. A passage meets
-an item where they share a rare seed, or two n-grams of any kind, as an edited copy may have kept
-only those that other copies have, too. A local alignment of words then scores how much of the item
-the passage holds, also where words were changed, added or left out.
-
-Documents are read twice and never shuffled: a bit table of fixed size tells which n-grams can be
-those of an item, and only these leave a task.
+Every pair of neighbouring words of the test items is counted over all documents, and an item's
+rarest pairs are its seeds, those that occur nowhere first. How many are taken follows from the score
+a copy must reach: a copy of that score has lost at most so many of the item's pairs, so one of the
+seeds is left in it, whatever was changed. Phrases that many items share are frequent and are no seeds
+of items that have enough words of their own. A passage meets an item where it holds one of its
+seeds; it must hold as many of all its pairs as the score asks, and then a local alignment of words
+scores how much of the item it holds, also where words were changed, added or left out.
+
+Documents are read twice and never shuffled: bit tables of fixed size tell which pairs can be seeds,
+and only these and the passages around them leave a task.
 """
 
 from __future__ import annotations
 
+from math import ceil
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kalendra.llm.words import ALPHANUMERIC, Words, mix, pieces, text_bytes
 from kalendra.session import cut_lineage
 
-#: Words of an n-gram.
-GRAM = 4
+#: Words of an n-gram. A copy may have a word put in after every second one and still score half.
+GRAM = 2
+#: An alignment counts from so many words on, or from the whole of a shorter item.
+LEAST_WORDS = 4
 #: Bits of the table that is sent to all tasks: its size does not depend on the items. With more
 #: n-grams than bits it lets more through, and the joins do the rest.
 TABLE_BITS = 1 << 23
@@ -39,18 +45,28 @@ def _words(batch: pa.RecordBatch) -> Words:
     return Words(*text_bytes(batch.column("text")), table=ALPHANUMERIC)
 
 
-def _grams(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, place) of every n-gram that lies in one text."""
+def needed_score(n: int, least_score: float) -> int:
+    """The local score, in words, from which a copy of an item of n words counts."""
+    return max(ceil(least_score * n - 1e-9), min(n, LEAST_WORDS))
+
+
+def _grams(words: Words, singles: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, place) of every n-gram that lies in one text, and of every word if `singles`."""
     h, n = words.hashes, len(words.hashes) - GRAM + 1
-    if n <= 0:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    fold = h[:n].copy()
-    for k in range(1, GRAM):
-        fold *= _FOLD
-        fold += h[k : n + k]
-    text = words.text_of()
-    at = np.flatnonzero(text[:n] == text[GRAM - 1 :])
-    return mix(fold[at]), at
+    grams, at = np.empty(0, np.uint64), np.empty(0, np.int64)
+    if n > 0:
+        fold = h[:n].copy()
+        for k in range(1, GRAM):
+            fold *= _FOLD
+            fold += h[k : n + k]
+        text = words.text_of()
+        at = np.flatnonzero(text[:n] == text[GRAM - 1 :])
+        grams = mix(fold[at])
+    if singles:
+        grams, at = np.concatenate([grams, mix(h ^ _FOLD)]), np.concatenate([at, np.arange(len(h))])
+        order = np.argsort(at, kind="stable")
+        grams, at = grams[order], at[order]
+    return grams, at
 
 
 def _short(hashes: np.ndarray) -> np.ndarray:
@@ -61,28 +77,35 @@ def _short(hashes: np.ndarray) -> np.ndarray:
 def _item_rows(batches):
     for batch in batches:
         words = _words(batch)
-        grams, at = _grams(words)
-        signed = grams.view(np.int64)
-        cuts = np.searchsorted(at, words.first)
+        grams, at = _grams(words, True)
+        single = np.isin(grams, mix(words.hashes ^ _FOLD))
+        counts, cuts = words.counts(), np.searchsorted(at, words.first)
         tokens = _short(words.hashes)
-        rows = range(batch.num_rows)
+        found = []
+        for i in range(batch.num_rows):
+            own = slice(cuts[i], cuts[i + 1])
+            found.append(np.unique(grams[own][single[own] == (counts[i] < GRAM)].view(np.int64)))
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("id"),
-                pa.array([tokens[words.first[i] : words.first[i + 1]] for i in rows], pa.list_(pa.int32())),
-                pa.array([np.unique(signed[cuts[i] : cuts[i + 1]]) for i in rows], pa.list_(pa.int64())),
+                pa.array(
+                    [tokens[words.first[i] : words.first[i + 1]] for i in range(batch.num_rows)],
+                    pa.list_(pa.int32()),
+                ),
+                pa.array(found, pa.list_(pa.int64())),
             ],
             names=["id", "words", "grams"],
         )
 
 
 def items_of(benchmark: DataFrame) -> DataFrame:
-    """(`item_id`, `words`, `grams`) of the items; one without GRAM words has no n-grams and cannot
-    be looked for."""
+    """(`item_id`, `words`, `grams`) of the items that have a word; that word is the n-gram of an item
+    which has no other. Rows that share an item_id are items of their own."""
     return (
         _lower(benchmark, "item_id")
         .mapInArrow(_item_rows, "id long, words array<int>, grams array<long>")
-        .withColumnRenamed("id", "item_id")
+        .filter(F.size("grams") > 0)
+        .select(F.monotonically_increasing_id().alias("item"), F.col("id").alias("item_id"), "words", "grams")
     )
 
 
@@ -107,12 +130,12 @@ def _possible(grams: np.ndarray, table: np.ndarray) -> np.ndarray:
     return (table[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
 
 
-def _count(table: np.ndarray):
+def _count(table: np.ndarray, singles: bool):
     def run(batches):
         for whole in batches:
             for batch in pieces(whole, "text", 1 << 20):
                 words = _words(batch)
-                grams, at = _grams(words)
+                grams, at = _grams(words, singles)
                 hit = _possible(grams, table)
                 owner = words.text_of()[at[hit]].astype(np.uint64)
                 once = np.unique(np.stack([owner, grams[hit]], axis=1), axis=0)
@@ -124,62 +147,92 @@ def _count(table: np.ndarray):
     return run
 
 
-def seeds_of(items: DataFrame, docs: DataFrame) -> DataFrame:
-    """(`gram`, `item_id`, `rare`): each item's n-grams that occur in documents, and whether one is
-    among the rarer half of them by the number of documents, ties included."""
-    grams = cut_lineage(items.select("item_id", F.explode("grams").alias("gram")).distinct())
+def _most_lost(n: Column, least_score: float) -> Column:
+    """How many n-grams of an item of n words a copy that counts can have lost: a word changed or left
+    out costs two of them and two of the score, a word put in one and one, a word cut off one and one."""
+    needed = F.greatest(F.ceil(least_score * n - 1e-9), F.least(n, F.lit(LEAST_WORDS)))
+    return n - needed
+
+
+def seeds_of(items: DataFrame, docs: DataFrame, singles: bool, least_score: float) -> DataFrame:
+    """(`gram`, `item`, `n_words`): of each item one n-gram more than a copy can have lost, the rarest
+    ones by the number of documents that hold them; those of them that occur."""
+    grams = cut_lineage(
+        items.select("item", F.size("words").alias("n_words"), F.explode("grams").alias("gram"))
+    )
     table = _bit_table(grams.select("gram"))
-    seen = docs.mapInArrow(_count(table), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    counted = grams.join(seen, "gram")
+    seen = docs.mapInArrow(_count(table, singles), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    counted = grams.join(seen, "gram", "left").fillna(0, ["n"])
     # An item's n-grams fit in a row, so a window over them is small.
-    item = Window.partitionBy("item_id")
-    rank = F.rank().over(item.orderBy("n"))
+    rank = F.row_number().over(Window.partitionBy("item").orderBy("n", "gram"))
     return (
         counted.withColumn("rank", rank)
-        .withColumn("all", F.count(F.lit(1)).over(item))
-        .select("gram", "item_id", (2 * (F.col("rank") - 1) < F.col("all")).alias("rare"))
+        .filter(F.col("rank") <= _most_lost(F.col("n_words"), least_score) + 1)
+        .filter("n > 0")
+        .select("gram", "item", "n_words")
     )
 
 
-def _passages(table: np.ndarray, rare: np.ndarray, reach: int):
-    """Passages around possible n-grams: `reach` words to either side, merged where they meet. One
-    with a single n-gram that cannot be a rare seed is left out."""
+def _reach_class(n_words: Column) -> Column:
+    """Items of about one length are looked for together."""
+    return F.ceil(F.log2(n_words)).cast("int")
+
+
+def _tables(seeds: DataFrame) -> list[tuple[int, int, np.ndarray]]:
+    """(class, words to either side of a seed, bit table) of each class of items; at most 32."""
+    lengths = seeds.groupBy("class").agg(F.max("n_words").alias("n")).collect()
+    out = []
+    for row in sorted(lengths, key=lambda r: r["class"]):
+        own = seeds.filter(F.col("class") == row["class"])
+        # An item of n words whose copy scores half has at most n / 2 words put in.
+        out.append((row["class"], row.n + row.n // 2 + 1, _bit_table(own.select("gram"))))
+    return out
+
+
+def _passages(tables: list[tuple[int, int, np.ndarray]], singles: bool):
+    """Passages around possible seeds: as many words to either side as the class of items asks, merged
+    where they meet."""
+    whole_table = np.bitwise_or.reduce([t for _, _, t in tables]) if tables else np.zeros(TABLE_BITS // 64, np.uint64)
 
     def run(batches):
         for whole in batches:
             for batch in pieces(whole, "text", 1 << 20):
                 words = _words(batch)
-                grams, at = _grams(words)
-                hit = _possible(grams, table)
-                grams, at = grams[hit], at[hit]
-                seldom, grams = _possible(grams, rare), grams.view(np.int64)
-                if not len(at):
+                every, places = _grams(words, singles)
+                hit = _possible(every, whole_table)
+                every, places = every[hit], places[hit]
+                if not len(places):
                     continue
-                owner = words.text_of()[at]
-                apart = (np.diff(at) > 2 * reach) | (np.diff(owner) != 0)
-                starts = np.flatnonzero(np.concatenate([[True], apart]))
-                stops = np.append(starts[1:], len(at))
-                tokens = _short(words.hashes)
-                ids = batch.column("id").to_pylist()
-                doc, first, seeds, passage = [], [], [], []
-                for a, b in zip(starts.tolist(), stops.tolist(), strict=True):
-                    if b - a < 2 and not seldom[a]:
+                tokens, ids = _short(words.hashes), batch.column("id")
+                text_of = words.text_of()
+                doc, kind, first, seeds, passage = [], [], [], [], []
+                for number, reach, table in tables:
+                    hit = _possible(every, table)
+                    grams, at = every[hit].view(np.int64), places[hit]
+                    if not len(at):
                         continue
-                    text = owner[a]
-                    low = max(int(words.first[text]), int(at[a]) - reach)
-                    high = min(int(words.first[text + 1]), int(at[b - 1]) + GRAM + reach)
-                    doc.append(ids[text])
-                    first.append(low - int(words.first[text]))
-                    seeds.append(np.unique(grams[a:b]))
-                    passage.append(tokens[low:high])
+                    owner = text_of[at]
+                    apart = (np.diff(at) > 2 * reach) | (np.diff(owner) != 0)
+                    starts = np.flatnonzero(np.concatenate([[True], apart]))
+                    stops = np.append(starts[1:], len(at))
+                    for a, b in zip(starts.tolist(), stops.tolist(), strict=True):
+                        text = int(owner[a])
+                        low = max(int(words.first[text]), int(at[a]) - reach)
+                        high = min(int(words.first[text + 1]), int(at[b - 1]) + GRAM + reach)
+                        doc.append(text)
+                        kind.append(number)
+                        first.append(low - int(words.first[text]))
+                        seeds.append(np.unique(grams[a:b]))
+                        passage.append(tokens[low:high])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(doc, pa.int64()),
+                        ids.take(pa.array(doc, pa.int64())),
+                        pa.array(kind, pa.int32()),
                         pa.array(first, pa.int64()),
                         pa.array(seeds, pa.list_(pa.int64())),
                         pa.array(passage, pa.list_(pa.int32())),
                     ],
-                    names=["doc_id", "first_word", "seeds", "passage"],
+                    names=["doc_id", "class", "first_word", "seeds", "passage"],
                 )
 
     return run
@@ -203,67 +256,93 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def _scores(batches):
-    for batch in batches:
-        items = batch.column("words").to_pylist()
-        passages = batch.column("passage").to_pylist()
-        found = [
-            align(np.array(a, np.int32), np.array(b, np.int32))
-            for a, b in zip(items, passages, strict=True)
-        ]
-        size = np.array([max(1, len(x)) for x in items])
-        first = batch.column("first_word").to_numpy(zero_copy_only=False)
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("doc_id"),
-                batch.column("item_id"),
-                pa.array(np.array([x for x, _ in found]) / (size * MATCH), pa.float64()),
-                pa.array(first + np.array([x for _, x in found], np.int64), pa.int64()),
-            ],
-            names=["doc_id", "item_id", "score", "end_word"],
-        )
+def _lists(column: pa.Array) -> list[np.ndarray]:
+    flat, cuts = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+    return [flat[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
-    """(`doc_id`, `item_id`, `score`, `end_word`): documents that hold an item, or an edited copy
-    of one, each pair once with its best score and the place of the passage's end in the document.
+def _word_pairs(tokens: np.ndarray) -> np.ndarray:
+    wide = tokens.astype(np.int64)
+    return np.unique((wide[:-1] << 32) | (wide[1:] & 0xFFFFFFFF))
 
-    Words are runs of letters and digits, in lower case. A null text holds nothing, a row without
-    doc_id or item_id takes no part, and an item of fewer than GRAM words has no n-gram to look for.
-    Other columns of either table are ignored.
-    """
+
+def _scores(least_score: float):
+    """The pairs of an item and a passage that reach the item's score."""
+
+    def run(batches):
+        for batch in batches:
+            kept, best, ends, size = [], [], [], []
+            items, passages = _lists(batch.column("words")), _lists(batch.column("passage"))
+            for k, (item, passage) in enumerate(zip(items, passages, strict=True)):
+                needed = needed_score(len(item), least_score)
+                own = _word_pairs(item)
+                shared = np.isin(own, _word_pairs(passage), assume_unique=True).sum()
+                if shared < len(own) - (len(item) - needed):
+                    continue  # too little is left of the item
+                score, end = align(item, passage)
+                if score >= needed * MATCH:
+                    kept.append(k)
+                    best.append(score)
+                    ends.append(end)
+                    size.append(len(item))
+            some = pa.array(kept, pa.int64())
+            first = batch.column("first_word").take(some).to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id").take(some),
+                    batch.column("item_id").take(some),
+                    pa.array(np.array(best, float) / (np.array(size, float) * MATCH), pa.float64()),
+                    pa.array(first + np.array(ends, np.int64), pa.int64()),
+                ],
+                names=["doc_id", "item_id", "score", "end_word"],
+            )
+
+    return run
+
+
+def candidates(docs: DataFrame, benchmark: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
+    """(`doc_id`, `item_id`, `first_word`, `words`, `passage`): the passages of documents that hold a
+    seed of an item, each with that item, and the words of both as numbers."""
     known = _lower(docs, "doc_id").filter(F.col("id").isNotNull() & F.col("text").isNotNull())
-    items = cut_lineage(items_of(benchmark.filter(F.col("item_id").isNotNull())))
-    seeds = cut_lineage(seeds_of(items, known))
-    # An item's words reach the driver only as the length of the longest.
-    reach = items.agg(F.max(F.size("words"))).first()[0] or 0
-    passages = cut_lineage(
-        known.mapInArrow(
-            _passages(
-                _bit_table(seeds.select("gram")),
-                _bit_table(seeds.filter("rare").select("gram")),
-                int(reach),
-            ),
-            "doc_id long, first_word long, seeds array<long>, passage array<int>",
-        )
+    items = cut_lineage(items_of(benchmark.filter(F.col("item_id").isNotNull() & F.col("text").isNotNull())))
+    singles = not items.filter(F.size("words") < GRAM).isEmpty()
+    seeds = seeds_of(items, known, singles, least_score)
+    seeds = cut_lineage(seeds.withColumn("class", _reach_class(F.col("n_words"))))
+    found = known.mapInArrow(
+        _passages(_tables(seeds), singles),
+        "doc_id long, class int, first_word long, seeds array<long>, passage array<int>",
     )
+    passages = cut_lineage(found.withColumn("place", F.monotonically_increasing_id()))
     met = (
-        passages.select("doc_id", "first_word", F.explode("seeds").alias("gram"))
-        .join(seeds, "gram")
-        .groupBy("doc_id", "first_word", "item_id")
-        .agg(F.count(F.lit(1)).alias("n"), F.max("rare").alias("rare"))
-        .filter("n > 1 or rare")
-        .drop("n", "rare")
+        passages.select("place", "class", F.explode("seeds").alias("gram"))
+        .join(seeds.select("gram", "class", "item"), ["gram", "class"])
+        .select("place", "item")
+        .distinct()
     )
-    pairs = met.join(passages.drop("seeds"), ["doc_id", "first_word"]).join(
-        items.select("item_id", "words"), "item_id"
+    return (
+        met.join(passages.select("place", "doc_id", "first_word", "passage"), "place")
+        .join(items.select("item", "item_id", "words"), "item")
+        .select("doc_id", "item_id", "first_word", "words", "passage")
     )
-    scored = pairs.select("doc_id", "item_id", "first_word", "words", "passage").mapInArrow(
-        _scores, "doc_id long, item_id long, score double, end_word long"
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
+    """(`doc_id`, `item_id`, `score`, `end_word`): documents that hold an item, or an edited copy
+    of one, each pair once with its best score and, of the passages with that score, the last place
+    where one ends in the document.
+
+    Words are runs of letters and digits, in lower case. No copy of a score from `least_score` on is
+    missed; the score must also come to LEAST_WORDS words, so an item of fewer words must stand there
+    whole. A null or empty text holds nothing and is no item, and a row without doc_id or item_id takes
+    no part. Rows that share a doc_id are read each for itself and give one row for each item; so do
+    repeated items. Very long texts are read whole; only passages of them travel. Where a table is empty
+    the result is. Other columns of either table are ignored.
+    """
+    scored = candidates(docs, benchmark, least_score).mapInArrow(
+        _scores(least_score), "doc_id long, item_id long, score double, end_word long"
     )
     return (
-        scored.filter(F.col("score") >= least_score)
-        .groupBy("doc_id", "item_id")
+        scored.groupBy("doc_id", "item_id")
         .agg(F.max(F.struct("score", "end_word")).alias("best"))
         .select("doc_id", "item_id", "best.score", "best.end_word")
     )
@@ -272,6 +351,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least_score: float = LEA
 def drop_contaminated(
     docs: DataFrame, benchmark: DataFrame, least_score: float = LEAST_SCORE
 ) -> DataFrame:
-    """The documents that hold no item; the columns are those of `docs`."""
-    found = contaminated(docs, benchmark, least_score).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    """The documents that hold no item; the columns are those of `docs`. A row goes by its text, so
+    also where its doc_id is null or is another row's, too."""
+    key = "_text_key"
+    while key in docs.columns:
+        key += "_"
+    keyed = docs.withColumn(key, F.xxhash64(F.lower("text")))
+    slim = keyed.select(F.col(key).alias("doc_id"), "text")
+    found = contaminated(slim, benchmark, least_score).select(F.col("doc_id").alias(key)).distinct()
+    return keyed.join(found, key, "left_anti").select(*docs.columns)
