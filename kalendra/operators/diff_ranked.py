@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from kalendra.functions.text import alnum_key
 from kalendra.operators.filters import still_running
 from kalendra.operators.numbering import join_null_equal, slot_ranks
+from kalendra.session import cut_lineage
 
 CARRIED = [
     "subject", "location", "start_date", "end_date", "start_time", "end_time",
@@ -20,6 +21,8 @@ JOIN_KEYS = ["subject_key", "event_rank", "city"]
 # Rows of one key that one task may join, and how many ways rows that meet nothing are scattered.
 ROWS_PER_PIECE = 100_000
 MATCHLESS_PIECES = 1024
+# Copies of one pair of rows that one task writes out.
+RUN_BITS = 16
 
 
 def _keyed_rows(
@@ -74,6 +77,7 @@ def _spread(rows: DataFrame, side: str) -> DataFrame:
             (~matchless).alias(f"{side}_meets"),
             *[F.col(c).alias(f"{side}_{c}") for c in CARRIED if c != "city"],
             F.col("city").alias(f"{side}_city"),
+            *([F.col("copies").alias(f"{side}_copies")] if "copies" in rows.columns else []),
         )
     )
 
@@ -121,24 +125,49 @@ def diff_ranked(
     """Full outer comparison of two snapshots on (subject key, rank, city).
 
     Keys with a NULL match nothing. In an equi-join a key either meets on both sides or is alone
-    with all its rows; keys alone are scattered and frequent keys are cut into pieces, since the
-    adaptive planner cannot split a full outer join. A piece without partner of a key that meets
-    is no unmatched event and goes.
+    with all its rows; keys alone are scattered, since the adaptive planner cannot split a full outer
+    join. Keys that meet and are frequent are joined apart, on counted rows.
     """
     rows = _keyed_rows(today, previous, asof, normalise_key)
-    t, p = _spread(rows, "t"), _spread(rows, "p")
+    frequent = (F.col("n_t") > ROWS_PER_PIECE) | (F.col("n_p") > ROWS_PER_PIECE)
+    frequent = F.col("n_t").isNotNull() & F.col("n_p").isNotNull() & frequent
+    rare = rows.filter(~F.coalesce(frequent, F.lit(False)))
+    t, p = _spread(rare, "t"), _spread(rare, "p")
     paired = t.join(p, [*JOIN_KEYS, "piece_t", "piece_p"], "full_outer").filter(
         ~F.coalesce("t_meets", F.lit(False)) & ~F.coalesce("p_meets", F.lit(False))
         | (F.col("t_meets") & F.col("p_meets"))
     )
+    return _compared(paired).unionByName(_frequent_pairs(rows.filter(frequent)))
+
+
+def _compared(paired: DataFrame, *more: Column) -> DataFrame:
     updated, status = _told("t", "p")
     return paired.select(
         *[F.coalesce(f"t_{c}", f"p_{c}").alias(c) for c in CARRIED],
         updated.alias("updated_description"),
         status.alias("status"),
+        *more,
     )
 
 
+def _frequent_pairs(rows: DataFrame) -> DataFrame:
+    """The pairs of keys that are frequent on a side and meet on the other.
+
+    Equal rows are counted first, so that they lie in one piece as one row; each pair of different
+    rows is compared once, and its copies, as many as the product of both counts, are written out in
+    runs that are dealt to all tasks.
+    """
+    counted = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies"))
+    t, p = _spread(counted, "t"), _spread(counted, "p")
+    paired = t.join(p, [*JOIN_KEYS, "piece_t", "piece_p"])
+    told = _compared(paired, (F.col("t_copies") * F.col("p_copies")).alias("copies"))
+    last = F.shiftright(F.col("copies") - 1, RUN_BITS)
+    runs = told.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    left = F.least(F.lit(1 << RUN_BITS), F.col("copies") - F.shiftleft("run", RUN_BITS))
+    dealt = runs.withColumn("left", left).repartition(*DIFF_COLUMNS, "run")
+    return dealt.withColumn("one", F.explode(F.sequence(F.lit(1).cast("long"), "left"))).select(*DIFF_COLUMNS)
+
+
 def run_counts(diffed: DataFrame) -> DataFrame:
     def of(status: str) -> Column:
         return F.count_if(F.col("status") == status)
@@ -182,6 +211,8 @@ def summary_row(diffed: DataFrame, asof: Column) -> DataFrame:
 
 
 def add_summary(diffed: DataFrame, asof: Column) -> DataFrame:
+    """The comparison and its summary as one more row. It is stored first, as both read it."""
+    diffed = cut_lineage(diffed)
     return diffed.withColumn("is_summary", F.lit(False)).unionByName(
         summary_row(diffed, asof).withColumn("is_summary", F.lit(True))
     )

@@ -1,4 +1,4 @@
-"""The two daily runs, each one lazy plan from landed events to calendar entries."""
+"""The two daily runs, from landed events to calendar entries."""
 
 from __future__ import annotations
 

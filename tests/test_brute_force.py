@@ -263,6 +263,24 @@ def test_diff_ranked_pieces_change_nothing(spark, monkeypatch, piece):
     assert found == sorted(map(str, expected.collect()))
 
 
+def test_equal_rows_of_a_frequent_key_are_spread(spark, monkeypatch):
+    """All rows of both sides are one row: a single pair is compared, and its copies come from all
+    tasks alike."""
+    monkeypatch.setattr(diff_ranked, "ROWS_PER_PIECE", 10)
+    monkeypatch.setattr(diff_ranked, "RUN_BITS", 8)
+    row = (0, "s", "2024-01-11", "2024-01-11", "10:00", None, "h", "K", "d", "x", True, 1)
+    old = (0, "s", "2024-01-11", "2024-01-11", "10:00", None, "g", "K", "d", "x", True, 1)
+    today, previous = event_frame(spark, [row] * 400), event_frame(spark, [old] * 300 + [row])
+    found = diff_ranked.diff_ranked(today, previous, F.lit("2024-01-10").cast("date"))
+    assert {(r.status, r["count"]) for r in found.groupBy("status").count().collect()} == {
+        ("changed", 400 * 300), ("unchanged", 400)
+    }
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    tasks = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(tasks) >= 8 and max(tasks) < 0.3 * sum(tasks)
+
+
 def test_diff_of_a_snapshot_with_itself_is_unchanged(spark):
     rows = [(i, f"s{i}", "2024-01-11", "2024-01-11", "10:00", None, "h", "K", "d", "x", True, 1)
             for i in range(30)]
