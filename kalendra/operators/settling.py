@@ -4,7 +4,7 @@ A node survives if none of its earlier neighbours does. Where a node has a singl
 neighbour it does the opposite of that one, so along a chain of such nodes fates alternate, and
 pointer jumping that counts steps settles a chain of n nodes in log n rounds. What is left after that
 is told apart into connected components; small ones are packed into tasks and visited there, and only
-large ones need further rounds.
+large ones need further rounds. As soon as no more edges are left than one task may visit, it does.
 """
 
 from __future__ import annotations
@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from kalendra.operators.components import components
 from kalendra.session import cut_lineage
 
-#: Edges of a component that one task visits, and edges packed into one task, about.
-COMPONENT_EDGES, TASK_EDGES = 1 << 16, 1 << 17
+#: Edges that one task visits at most, of one component or of several packed together.
+COMPONENT_EDGES = 1 << 18
 #: Rounds before what is left is told apart into components.
 ROUNDS_BEFORE_PACKING = 2
 
@@ -52,16 +52,8 @@ def _alternating(open_edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     return survive, falls
 
 
-def _visited(open_edges: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(`member` nodes of small components that fall, edges of the large components)."""
-    ends = open_edges.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
-    roots = components(open_edges, ends).toDF("src", "root")
-    rooted = cut_lineage(open_edges.join(roots, "src"))
-    sizes = cut_lineage(rooted.groupBy("root").agg(F.count(F.lit(1)).alias("n")))
-    small = sizes.filter(F.col("n") <= COMPONENT_EDGES)
-    total = small.agg(F.sum("n")).first()[0] or 0
-    tasks = total // TASK_EDGES + 1
-    kind = open_edges.schema["dst"].dataType.simpleString()
+def _visit(edges: DataFrame, task: str) -> DataFrame:
+    """`member` nodes that fall, found by visiting the edges of each task."""
 
     def visit(pdf: pd.DataFrame) -> pd.DataFrame:
         """Every node once all its earlier neighbours are known."""
@@ -81,10 +73,23 @@ def _visited(open_edges: DataFrame) -> tuple[DataFrame, DataFrame]:
                     ready.append(dst)
         return pd.DataFrame({"member": pd.Series(list(fallen), dtype=pdf["dst"].dtype)})
 
+    kind = edges.schema["dst"].dataType.simpleString()
+    return edges.groupBy(task).applyInPandas(visit, f"member {kind}")
+
+
+def _visited(open_edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(`member` nodes of small components that fall, edges of the large components)."""
+    ends = open_edges.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
+    roots = components(open_edges, ends).toDF("src", "root")
+    rooted = cut_lineage(open_edges.join(roots, "src"))
+    sizes = cut_lineage(rooted.groupBy("root").agg(F.count(F.lit(1)).alias("n")))
+    small = sizes.filter(F.col("n") <= COMPONENT_EDGES)
+    total = small.agg(F.sum("n")).first()[0] or 0
+    tasks = total // max(COMPONENT_EDGES, 1) + 1
     packed = rooted.join(small.select("root"), "root", "left_semi").withColumn(
         "task", F.pmod(F.xxhash64("root"), F.lit(tasks))
     )
-    falls = packed.groupBy("task").applyInPandas(visit, f"member {kind}")
+    falls = _visit(packed, "task")
     large = rooted.join(sizes.filter(F.col("n") > COMPONENT_EDGES).select("root"), "root", "left_semi")
     return cut_lineage(falls), cut_lineage(large.select("src", "dst"))
 
@@ -95,13 +100,16 @@ def settle(edges: DataFrame) -> DataFrame:
     open_edges = cut_lineage(edges.select("src", "dst").distinct())
     fallen = open_edges.select(F.col("dst").alias("member")).limit(0)
     rounds = 0
-    while not open_edges.isEmpty():
+    while left := open_edges.count():
+        if left <= COMPONENT_EDGES:  # all of them are one task's work
+            one = _visit(open_edges.withColumn("task", F.lit(0)), "task")
+            return fallen.unionByName(cut_lineage(one))
         if rounds == ROUNDS_BEFORE_PACKING:
             falls, open_edges = _visited(open_edges)
             fallen = fallen.unionByName(falls)
+            if open_edges.isEmpty():
+                break
         rounds += 1
-        if open_edges.isEmpty():
-            break
         survive, odd = _alternating(open_edges)
         dropped = open_edges.join(survive, "src", "left_semi").select(F.col("dst").alias("member"))
         falls = cut_lineage(dropped.unionByName(odd).distinct())

@@ -263,6 +263,22 @@ def test_diff_ranked_pieces_change_nothing(spark, monkeypatch, piece):
     assert found == sorted(map(str, expected.collect()))
 
 
+@pytest.mark.parametrize("crowded", [0, 10**9])
+@pytest.mark.parametrize("percent", [60, 80, 95])
+def test_token_edges_by_one_word_and_by_two(spark, monkeypatch, crowded, percent):
+    """Few words in many sets: both ways of meeting give all pairs."""
+    monkeypatch.setattr(similar, "CROWDED", crowded)
+    rng = random.Random(percent)
+    sets = {tuple(sorted(rng.sample(WORDS, rng.randrange(0, 9)))) for _ in range(150)}
+    rows = [(k, list(words)) for k, words in enumerate(sorted(sets))]
+    nodes = spark.createDataFrame(rows, "node long, words array<string>")
+    expected = {
+        (x, y) for x, a in rows for y, b in rows
+        if x < y and a and b and 100 * len({*a} & {*b}) >= percent * len({*a} | {*b})
+    }
+    assert {tuple(r) for r in similar.token_edges(nodes, ["words"], percent).collect()} == expected
+
+
 def test_equal_rows_of_a_frequent_key_are_spread(spark, monkeypatch):
     """All rows of both sides are one row: a single pair is compared, and its copies come from all
     tasks alike."""
