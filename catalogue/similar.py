@@ -365,6 +365,36 @@ def token_components(spark, sf):
     return grouped.select("row_seq", "duplicate_group")
 
 
+@query(
+    "token_groups_in_order",
+    f"""{TOKEN_CTE}, {GROUP_PARENTS},
+    placed as (
+        select d.row_seq, cast(coalesce(n.no, -1) as integer) as duplicate_group
+        from docs d left join grouped g on g.x = d.row_seq left join numbered n on n.root = g.root)
+    select row_number() over (order by duplicate_group, row_seq) as place, row_seq, duplicate_group from placed
+    """,
+)
+def token_groups_in_order(spark, sf):
+    return groups.ordered_groups(token_groups(spark, sf)).select("place", "row_seq", "duplicate_group")
+
+
+@query(
+    "token_classes",
+    f"""{TOKEN_CTE},
+    equal as (select *, len(toks) > 0 and len(place) > 0 as filled from docs),
+    own as (select *, case when filled then min(row_seq) over (partition by toks, place) else row_seq end as class,
+                   case when filled then count(*) over (partition by toks, place) else 1 end as n_equal from equal),
+    likes as (select x, count(*) as n from (select src as x, dst as y from pairs union all select dst, src from pairs) p
+              join own a on a.row_seq = p.x join own b on b.row_seq = p.y where a.class <> b.class group by x)
+    select o.row_seq, o.class, cast(o.n_equal as bigint) as n_equal, coalesce(l.n, 0) as n_like
+    from own o left join likes l on l.x = o.row_seq
+    """,
+)
+def token_classes(spark, sf):
+    rows, _ = groups.token_classes(_documents(spark, sf), ["toks", "place"])
+    return rows
+
+
 CANONICAL_SOURCE = """
 select o_orderkey as row_seq,
        concat(p.p_name, ' ', p.p_brand, ' ', p.p_type, ' halle ',

@@ -279,6 +279,32 @@ def test_token_edges_by_one_word_and_by_two(spark, monkeypatch, crowded, percent
     assert {tuple(r) for r in similar.token_edges(nodes, ["words"], percent).collect()} == expected
 
 
+def test_classes_stand_for_all_pairs_of_a_crowd(spark):
+    """100 000 rows of a few texts: nearly 5 * 10**9 pairs, none of them written out."""
+    a, b = ([first] + [f"w{k}" for k in range(9)] for first in "xy")
+    df = spark.range(100_000).select(
+        F.col("id").alias("row_seq"),
+        F.when(F.col("id") % 2 == 0, F.array(*map(F.lit, a))).when(F.col("id") % 10 == 1, F.array(*map(F.lit, b)))
+        .when(F.col("id") == 3, F.array(F.lit("other"))).otherwise(F.array().cast("array<string>")).alias("toks"),
+    )
+    rows, links = groups.token_classes(df, ["toks"])
+    assert [tuple(r) for r in links.collect()] == [(0, 1, 50_000 * 10_000)]
+    kinds = {tuple(r) for r in rows.filter("n_equal > 1").select("class", "n_equal", "n_like").distinct().collect()}
+    assert kinds == {(0, 50_000, 10_000), (1, 10_000, 50_000)}
+    alone = rows.filter("n_equal = 1")
+    assert alone.count() == 40_000 and alone.filter("class <> row_seq or n_like > 0").isEmpty()
+
+
+def test_rows_in_order_have_their_places(spark):
+    rng = random.Random(12)
+    rows = [(rng.choice([None, "a", "b", "c"]), k) for k in range(500)]
+    df = spark.createDataFrame(rows, "g string, k long").repartition(7)
+    got = [tuple(r) for r in numbering.in_order(df, ["g", "k"]).collect()]
+    expected = sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1]))
+    assert got == [(g, k, n + 1) for n, (g, k) in enumerate(expected)]
+    assert numbering.in_order(df.limit(0), ["g"]).collect() == []
+
+
 def test_equal_rows_of_a_frequent_key_are_spread(spark, monkeypatch):
     """All rows of both sides are one row: a single pair is compared, and its copies come from all
     tasks alike."""
