@@ -22,8 +22,9 @@ from kalendra.session import cut_lineage
 FEATURES = 1 << 15
 ORDERS = (1, 2, 3)
 #: Labelled documents of each language that the weights are learned from, at most, and languages.
-#: These bound what the driver holds; the counts of documents cover all of them.
-SAMPLE_PER_LANGUAGE, MOST_LANGUAGES = 600, 256
+#: These bound what the driver holds, with MOST_SAMPLED for all languages together; the counts of
+#: documents cover all of them.
+SAMPLE_PER_LANGUAGE, MOST_LANGUAGES, MOST_SAMPLED = 600, 256, 1 << 14
 #: Of five sampled documents one is kept for the temperature.
 CALIBRATION_FOLDS = 5
 EPOCHS = 4
@@ -110,12 +111,13 @@ def _sparse(batches):
             got = features(*text_bytes(batch.column("text")))
             yield pa.RecordBatch.from_arrays(
                 [
+                    batch.column("doc_id"),
                     batch.column("lang"),
                     batch.column("turn"),
                     pa.array([a.astype("<u2").tobytes() for a, _ in got], pa.binary()),
                     pa.array([c.astype("<u4").tobytes() for _, c in got], pa.binary()),
                 ],
-                names=["lang", "turn", "at", "counts"],
+                names=["doc_id", "lang", "turn", "at", "counts"],
             )
 
 
@@ -130,7 +132,7 @@ def _sample(labelled: DataFrame) -> DataFrame:
     in_all = Window.partitionBy("lang").orderBy("turn")
     few = keyed.withColumn("k", F.row_number().over(in_part)).filter(F.col("k") <= SAMPLE_PER_LANGUAGE)
     few = few.withColumn("k", F.row_number().over(in_all)).filter(F.col("k") <= SAMPLE_PER_LANGUAGE)
-    return few.select("doc_id", "turn").dropDuplicates(["doc_id"])
+    return few.select("doc_id", "lang", "turn", "k").dropDuplicates(["doc_id"])
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -185,17 +187,22 @@ def train(docs: DataFrame, may_learn: Column) -> Model | None:
     labelled = labelled.filter(F.col("text").rlike(LETTER))
     idf = inverse_frequencies(labelled)
     chosen = cut_lineage(_sample(labelled))
-    rows = (
-        labelled.join(chosen, "doc_id")
-        .select("text", "lang", "turn")
-        .mapInArrow(_sparse, "lang string, turn long, at binary, counts binary")
-        .collect()
+    known = chosen.select("lang").distinct().count()
+    if known > MOST_LANGUAGES:
+        raise ValueError(f"{known} languages; the model is meant for {MOST_LANGUAGES}")
+    wanted = chosen.filter(F.col("k") <= MOST_SAMPLED // max(known, 1)).select("doc_id", "turn")
+    # Of rows that share a doc_id one is taken, so that no more rows come than were chosen.
+    found = (
+        labelled.join(wanted, "doc_id")
+        .select(F.col("doc_id").cast("string").alias("doc_id"), "text", "lang", "turn")
+        .mapInArrow(_sparse, "doc_id string, lang string, turn long, at binary, counts binary")
+        .groupBy("doc_id")
+        .agg(F.min(F.struct("turn", "lang", "at", "counts")).alias("row"))
     )
+    rows = found.select("row.*").collect()
     if not rows:
         return None
     languages = sorted({r.lang for r in rows})
-    if len(languages) > MOST_LANGUAGES:
-        raise ValueError(f"{len(languages)} languages; the model is meant for {MOST_LANGUAGES}")
     rows.sort(key=lambda r: (r.turn, r.lang, bytes(r.at)))
     vectors, labels = [], np.array([languages.index(r.lang) for r in rows])
     for r in rows:
@@ -262,7 +269,8 @@ def held_out(doc_id: Column) -> Column:
 def identify(docs: DataFrame) -> DataFrame:
     """(`doc_id`, `held_out`, `lang_pred`, `score`): learn from the documents that are not held out
     and predict all. Needs doc_id, text and lang; other columns are ignored. Rows with equal doc_id
-    each get a row."""
+    each get a row, and one of them may be learned from; a null doc_id is not learned from. A null or
+    empty text is `und`. Very long texts are read whole; an empty table gives an empty result."""
     out = held_out(F.col("doc_id"))
     model = train(docs.select("doc_id", "text", "lang"), ~out & F.col("doc_id").isNotNull())
     found = predict(docs, model)
