@@ -5,6 +5,11 @@
 3. decontaminate: documents that hold a benchmark item go.
 4. mix: documents stay as often as their source's target asks, at most three times.
 5. tokens: token-id files are written; the result is their digest, a row per document.
+
+Rows are what a stage keeps or drops, so extra columns and repeated rows go through all stages but the
+last. A null or empty text has no language and ends in the first stage; a null doc_id is read like any
+other, though the language model does not learn from it. Texts are read whole, and an empty table gives
+an empty result.
 """
 
 from __future__ import annotations
