@@ -29,6 +29,9 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
+    here = os.path.dirname(os.path.abspath(__file__))
+    paths = [here, os.environ.get("PYTHONPATH")]
+    os.environ["PYTHONPATH"] = os.pathsep.join(p for p in paths if p)  # for the Python workers
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("kalendra-bench")
