@@ -9,9 +9,10 @@ from catalogue.registry import asof, dealt_out, for_oracle, from_sql, query, tab
 from catalogue.views import EV_NEW
 from kalendra.functions import similarity, text
 from kalendra.operators import groups, similar, soft_tokens
+from kalendra.operators.daily_similar import SimilarStore
 from kalendra.operators.dedup import SAME_EVENT_KEYS, SAME_SLOT_KEYS, drop_exact
 from kalendra.plans.workflows import remove_duplicates
-from kalendra.session import cut_lineage
+from kalendra.session import cut_lineage, fresh_folder
 
 
 def lcs_sql(a: str, b: str) -> str:
@@ -145,6 +146,18 @@ def dedup_fuzzy(spark, sf):
     return similar.fuzzy_dedup(_exact(spark, sf))
 
 
+@query("dedup_increment", f"{FUZZY} select * from exact where {SURVIVES}")
+def dedup_increment(spark, sf):
+    """The same removal, of rows that arrive over three days."""
+    rows = cut_lineage(_exact(spark, sf).withColumn("_time", F.coalesce("start_time", F.lit("missing time"))))
+    block = ["start_date", "_time", "city"]
+    store = SimilarStore(spark, fresh_folder(spark, "similar-store"), rows.schema, block)
+    last = rows.agg(F.max("row_seq")).first()[0] or 0
+    for day in range(3):
+        store.add(rows.filter((F.col("row_seq") * 3 > last * day) & (F.col("row_seq") * 3 <= last * (day + 1))))
+    return store.kept_rows(rows).drop("_time")
+
+
 @query(
     "remove_duplicates",
     f"""{FUZZY}
