@@ -4,13 +4,17 @@ A page is cut into blocks at block-level tags. The first pass labels a block by
 (menus, headers, footers, side bars, notices, adverts, forms and comments are named by tags,
 classes and roles) and by length, link density and stop-word density. Blocks that are too short or
 too mixed to tell stay open; the second pass gives them the label of the nearest decided neighbours.
+
+An article or main element narrows the page to itself only where it holds as much text as the rest. A
+page without any block that is surely text is read again: containers that only a part of a name speaks
+against (`share-your-story`) count as others do, and at last the longest run of open blocks is text.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -74,33 +78,35 @@ _LAYOUT = frozenset(("has", "no", "with", "without"))  # as in has-sidebar, of a
 class Block:
     text: str
     linked: int  # characters of it that stand in links
-    apart: bool  # inside something that is not the article
+    apart: int  # inside something that is not the article: 0 no, 1 by a part of a name, 2 and 3 surely
     main: bool  # inside an article or main element
     heading: bool
 
 
 def _is_apart(name: str, rest: str, in_main: bool) -> int:
-    """How surely an element, by its name and attributes, is no part of an article: 0 not, 1 by a
-    name that a frame around the whole page may bear too, 2 for sure."""
+    """How surely an element, by its name and attributes, is no part of an article: 0 not, 1 by a part
+    of a longer name, 2 by a whole name, though a frame around the page may bear that too, 3 for sure."""
     if name in _APART or (name == "header" and not in_main):
-        return 2
+        return 3
     if not rest or rest.isspace():
         return 0
     found = 0
     for key, a, b, c, alone in _ATTRIBUTE.findall(rest):
         key, value = key.lower(), a or b or c
         if alone.lower() == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
-            return 2
+            return 3
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return 2
+            return 3
         if key not in ("class", "id", "role") or name in ("body", "html", "main"):
             continue
-        parts = [x.lower() for x in _NAME_PARTS.split(value)]
-        for before, part in zip([""] + parts, parts):
-            if part in _OF_READERS:
-                return 2
-            if part in _NAMES and before not in _LAYOUT and name != "article":
-                found = max(found, 0 if part == "header" and in_main else 1)
+        for whole in value.split():
+            parts = [x.lower() for x in _NAME_PARTS.split(whole) if x]
+            named = 2 * sum(part in _NAMES for part in parts) >= len(parts)
+            for before, part in zip([""] + parts, parts):
+                if part in _OF_READERS:
+                    return 3
+                if part in _NAMES and before not in _LAYOUT and name != "article":
+                    found = max(found, 0 if part == "header" and in_main else 1 + named)
     return found
 
 
@@ -111,6 +117,7 @@ def blocks_of(page: str) -> list[Block]:
     path: list[tuple[str, int, bool]] = []  # open elements: name, apart, main
     parts: list[str] = []
     linked, link, heading, at = 0, 0, False, 0
+    around, within = False, 0  # whether the open link may go around blocks; elements open at its start
     mark = 0  # what a paragraph's own attributes say; its end may be left out, so it is not on the path
 
     def close() -> None:
@@ -118,16 +125,18 @@ def blocks_of(page: str) -> list[Block]:
         text = " ".join("".join(parts).split())
         if text:
             _, apart, main = path[-1] if path else ("", 0, False)
-            blocks.append(Block(text, min(linked, len(text)), apart + mark > 0, main, heading))
+            blocks.append(Block(text, min(linked, len(text)), max(apart, mark), main, heading))
         parts.clear()
         linked = 0
 
     def read(raw: str) -> None:
-        nonlocal linked
+        nonlocal linked, around
         text = html.unescape(raw)
         parts.append(text)
         if link:
-            linked += len("".join(text.split()))
+            size = len("".join(text.split()))
+            linked += size
+            around &= link > 1 or not size
 
     for token in _TOKEN.finditer(page):
         if token.start() > at:
@@ -139,11 +148,12 @@ def blocks_of(page: str) -> list[Block]:
         ends = bool(token["end"] or token["end2"])
         rest = token["rest"] or token["rest2"] or ""
         if name == "a":
-            link = max(0, link + (-1 if ends else 1))
+            link, around, within = int(not ends), not ends and "href" in rest.lower(), len(path)
             continue
         if name in _BLOCKS or name in _UNSEEN:
             close()
-            link = 0
+            if link == 1:  # a link that was never closed, unless blocks begin right behind it
+                link = 2 if around and not ends else 0
             mark = mark if name == "br" else 0
             if _HEADING.match(name):
                 heading = not ends
@@ -154,10 +164,11 @@ def blocks_of(page: str) -> list[Block]:
             if name in names:
                 close()
                 del path[len(names) - 1 - names[::-1].index(name) :]
+                link = link if len(path) >= within else 0
         elif name not in LOOSE and not rest.endswith("/"):
             _, apart, main = path[-1] if path else ("", 0, False)
-            own = 2 if name in _UNSEEN else _is_apart(name, rest, main)
-            if name in MAIN and apart == 1:
+            own = 3 if name in _UNSEEN else _is_apart(name, rest, main)
+            if name in MAIN and apart in (1, 2):
                 apart = 0
             if own:
                 close()
@@ -183,7 +194,7 @@ def first_pass(block: Block, has_main: bool, listed: bool = True) -> bool | None
         return False
     size = len(block.text)
     linked = block.linked / size
-    if block.main:
+    if block.main and has_main:
         return True if linked <= MOST_LINKED else None
     if linked > MOST_LINKED:
         return False
@@ -220,14 +231,39 @@ def second_pass(labels: list[bool | None]) -> list[bool]:
     return out
 
 
+def _labels(blocks: list[Block]) -> list[bool | None]:
+    """The first pass over a page."""
+    plain = [b for b in blocks if not b.apart and b.linked <= MOST_LINKED * len(b.text)]
+    told = [b for b in plain if not b.heading and len(b.text) >= SHORT]
+    inside = sum(len(b.text) for b in plain if b.main)
+    has_main = any(b.main and not b.apart for b in blocks)
+    has_main &= inside >= sum(len(b.text) for b in told if not b.main)
+    listed = has_main or _stop_share([b.text for b in told]) >= STOP_LISTED
+    return [first_pass(b, has_main, listed) for b in blocks]
+
+
+def _longest_run(blocks: list[Block], labels: list[bool | None]) -> list[bool | None]:
+    """`labels` with the longest run of open blocks as text, where it is as long as a long block."""
+    best, most, start, size = range(0), LONG - 1, 0, 0
+    for i, (block, label) in enumerate(zip(blocks, labels, strict=True)):
+        if label is False:
+            start, size = i + 1, 0
+        elif not block.heading:
+            size += len(block.text)
+        if size > most:
+            best, most = range(start, i + 1), size
+    return [True if i in best else label for i, label in enumerate(labels)]
+
+
 def main_text(page: str | None) -> str:
     """The text blocks of a page, joined by one space; empty for a null or empty page."""
     blocks = blocks_of(page or "")
-    has_main = any(b.main and not b.apart for b in blocks)
-    told = [b for b in blocks if not (b.apart or b.heading) and len(b.text) >= SHORT]
-    told = [b.text for b in told if b.linked <= MOST_LINKED * len(b.text)]
-    listed = has_main or _stop_share(told) >= STOP_LISTED
-    labels = second_pass([first_pass(b, has_main, listed) for b in blocks])
+    labels = _labels(blocks)
+    if True not in labels and any(b.apart == 1 for b in blocks):
+        labels = _labels([replace(b, apart=b.apart * (b.apart > 1)) for b in blocks])
+    if True not in labels:
+        labels = _longest_run(blocks, labels)
+    labels = second_pass(labels)
     return " ".join(b.text for b, keep in zip(blocks, labels, strict=True) if keep)
 
 
@@ -248,7 +284,8 @@ def _texts(batches):
 
 def extract(pages: DataFrame) -> DataFrame:
     """(`page_id`, `url`, `text`, `n_chars`) of every page. Each page is judged by itself, so rows
-    need no shuffle; repeated rows give repeated results. Other columns are ignored."""
+    need no shuffle; repeated rows give repeated results. A null or empty html has an empty text; texts
+    of any length are read whole, and no rows give no rows. Other columns are ignored."""
     kinds = dict(pages.dtypes)
     return pages.select("page_id", "url", "html").mapInArrow(
         _texts, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long"
