@@ -4,7 +4,7 @@ Documents are counted by source and exact size. Each source's target is met by w
 its documents and, for the rest, by a number of further documents of each size: first the same share
 of every size, then the largest that fit, and for the last stretch a bounded-knapsack table of
 reachable sums picks sizes that meet the budget, or come nearest below it. Which documents of a size
-are taken follows a seeded hash.
+are taken follows a seeded hash; of rows with one hash, as copies have, just as many as are wanted.
 """
 
 from __future__ import annotations
@@ -37,25 +37,44 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.greatest(n, F.lit(0)), F.lit(0)).cast("long")
 
 
-def targets(sources: pd.DataFrame) -> pd.DataFrame:
-    """Adds `target`: shares of all words by weight, none above MOST_TIMES its source's words; what
-    a source cannot take is shared again among the others by weight."""
-    names = sources.sort_values("source", na_position="last", key=lambda s: s.map(
-        lambda x: x.encode("utf-32-be") if isinstance(x, str) else None)).reset_index(drop=True)
-    weight = pd.Series([WEIGHTS[i % len(WEIGHTS)] for i in range(len(names))], dtype=float)
-    size = names["source_size"].astype(float)
-    limit, target = MOST_TIMES * size, pd.Series(0.0, index=names.index)
-    open_, rest = pd.Series(True, index=names.index), float(size.sum())
-    while open_.any():
-        share = rest * weight / weight[open_].sum()
-        full = open_ & (share >= limit)
-        if not full.any():
-            target[open_] = share[open_]
+def _places(sources: DataFrame) -> DataFrame:
+    """Adds `place`: the sources' numbers from 0 by code point, null last. Sorted ranges are counted, so
+    no task sees more than a range of them."""
+    lying = cut_lineage(
+        sources.orderBy(F.col("source").asc_nulls_last()).withColumn("at", F.monotonically_increasing_id())
+    ).withColumn("range", F.shiftright("at", 33))
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = (
+        lying.groupBy("range")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
+        .select("range", "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    )
+    place = F.col("before") + F.col("at") - F.col("first")
+    return lying.join(ranges, "range").select(*sources.columns, place.alias("place"))
+
+
+def targets(sources: DataFrame) -> DataFrame:
+    """Adds `target` to (`source`, `source_size`): shares of all words by weight, none above MOST_TIMES
+    its source's words; what a source cannot take is shared again among the others by weight. Each
+    round of sharing is one aggregate, and only its sums reach the driver."""
+    weights = F.element_at(F.array(*map(F.lit, WEIGHTS)), F.pmod("place", F.lit(len(WEIGHTS))).cast("int") + 1)
+    limit, weight = F.col("source_size") * MOST_TIMES, F.col("weight")
+    weighed = cut_lineage(_places(sources).withColumn("weight", weights.cast("double")).drop("place"))
+    everything = weighed.agg(F.sum("source_size")).first()[0] or 0
+    full, share, closed = F.lit(False), F.lit(0.0), -1
+    while True:
+        sums = weighed.agg(
+            F.sum(F.when(full, limit).otherwise(0)).alias("limits"),
+            F.sum(F.when(full, 0.0).otherwise(weight)).alias("weights"),
+            F.count_if(full).alias("closed"),
+        ).first()
+        if not sums.weights or sums.closed <= closed:
             break
-        target[full] = limit[full]
-        rest -= limit[full].sum()
-        open_ &= ~full
-    return names.assign(target=target)
+        closed = sums.closed
+        share = F.lit(float(everything - sums.limits)) * weight / F.lit(sums.weights)
+        full = share >= limit
+    target = F.when(full, limit.cast("double")).otherwise(share)
+    return weighed.select("source", "source_size", target.alias("target"))
 
 
 def _fill(sizes: list[int], counts: list[int], budget: int) -> list[int]:
@@ -164,7 +183,7 @@ def _plans(frame: pd.DataFrame) -> pd.DataFrame:
 
 def _keyed(docs: DataFrame, seed: int) -> DataFrame:
     """`docs` with the size, seeded hash and rank part of each row."""
-    turn = F.xxhash64(F.col("doc_id").cast("string"), F.lit(seed))
+    turn = F.xxhash64(F.col("doc_id").cast("string"), F.col("text"), F.lit(seed))
     return docs.withColumns(
         {
             "__size": word_count(F.col("text")),
@@ -182,25 +201,18 @@ def _same(left: DataFrame, right: DataFrame):
 
 def decisions(light: DataFrame) -> DataFrame:
     """What is taken of each source, size and part: (`of_source`, `of_size`, `of_part`,
-    `source_size`, `target`, `passes`, `last`): all documents `passes` times, and once more those
-    whose hash is not above `last`.
+    `source_size`, `target`, `passes`, `last`, `wanted`, `ties`): all documents `passes` times, and once
+    more those whose hash is below `last` and `wanted` of the `ties` that have it.
 
     light: (source, __size, __turn, __part). A source is planned in one task from one row per
-    distinct size. Only a part that is taken in part is ranked, and parts hold a small share of
-    the documents of one size.
+    distinct size. Only a part that is taken in part is ranked, by counted hashes, and parts hold a
+    small share of the hashes of one size.
     """
     keys = ["source", "__size", "__part"]
     parts = cut_lineage(light.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
     counted = parts.groupBy("source", F.col("__size").alias("size")).agg(F.sum("n").alias("n"))
     by_source = counted.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
-    # One row per source reaches the driver: their number is that of weights, not of documents.
-    shares = [
-        (r.source if isinstance(r.source, str) else None, int(r.source_size), float(r.target))
-        for r in targets(by_source.toPandas()).itertuples()
-    ]
-    shared = light.sparkSession.createDataFrame(
-        shares, "of_source string, source_size long, target double"
-    )
+    shared = targets(by_source).withColumnRenamed("source", "of_source")
     made = cut_lineage(
         counted.join(shared, counted["source"].eqNullSafe(shared["of_source"]))
         .select("source", "size", "n", "source_size", "target")
@@ -226,38 +238,67 @@ def decisions(light: DataFrame) -> DataFrame:
         )
     )
     partly = wanted.filter((F.col("more") > 0) & (F.col("more") < F.col("n")))
-    in_part = Window.partitionBy("of_source", "of_size", "of_part").orderBy("__turn")
+    part = ["of_source", "of_size", "of_part"]
+    so_far = Window.partitionBy(*part).orderBy("__turn").rowsBetween(Window.unboundedPreceding, 0)
     cut = (
         light.join(partly, _same(light, partly))
-        .withColumn("rank", F.row_number().over(in_part))
-        .filter(F.col("rank") == F.col("more"))
-        .select("of_source", "of_size", "of_part", F.col("__turn").alias("last"))
+        .groupBy(*part, "more", "__turn")
+        .agg(F.count(F.lit(1)).alias("ties"))
+        .withColumn("wanted", F.col("more") - F.sum("ties").over(so_far) + F.col("ties"))
+        .filter((F.col("wanted") > 0) & (F.col("wanted") <= F.col("ties")))
+        .select(*part, F.col("__turn").alias("last"), "wanted", "ties")
     )
-    most = F.lit((1 << 63) - 1)
-    columns = ["of_source", "of_size", "of_part", "source_size", "target", "passes"]
+    most, none = F.lit((1 << 63) - 1), F.lit(0).cast("long")
+    columns = [*part, "source_size", "target", "passes"]
     whole = wanted.filter((F.col("more") == 0) | (F.col("more") == F.col("n"))).select(
-        *columns, F.when(F.col("more") > 0, most).alias("last")
+        *columns, F.when(F.col("more") > 0, most).alias("last"), none.alias("wanted"), none.alias("ties")
     )
     a, b = partly.alias("a"), cut.alias("b")
     same = F.col("a.of_source").eqNullSafe(F.col("b.of_source"))
     for c in ("of_size", "of_part"):
         same &= F.col(f"a.{c}") == F.col(f"b.{c}")
-    split = a.join(b, same).select(*[f"a.{c}" for c in columns], "b.last")
+    split = a.join(b, same).select(*[f"a.{c}" for c in columns], "b.last", "b.wanted", "b.ties")
     return cut_lineage(whole.unionByName(split))
 
 
+def _numbered(tied: DataFrame) -> DataFrame:
+    """Adds `__nth`, from 1, to rows of one hash. They are numbered where they lie, a file's share in a
+    task, and each share goes on from those before it."""
+    lying = cut_lineage(tied.withColumn("__at", F.monotonically_increasing_id()))
+    lying = lying.withColumns(
+        {"__share": F.shiftright("__at", 33), "__of": F.coalesce("source", F.lit("")), "__null": F.col("source").isNull()}
+    )
+    group = ["__of", "__null", "__size", "__part"]
+    earlier = Window.partitionBy(*group).orderBy("__share").rowsBetween(Window.unboundedPreceding, -1)
+    shares = (
+        lying.groupBy(*group, "__share")
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .select(*group, "__share", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    )
+    nth = F.row_number().over(Window.partitionBy(*group, "__share").orderBy("__at"))
+    numbered = lying.withColumn("__nth", nth).join(shares, [*group, "__share"])
+    return numbered.withColumn("__nth", F.col("__nth") + F.col("__before")).select(*tied.columns, "__nth")
+
+
 def _with_times(rows: DataFrame, decided: DataFrame) -> DataFrame:
+    joined = rows.join(decided, _same(rows, decided))
+    tied = F.coalesce(F.col("__turn") == F.col("last"), F.lit(False)) & (F.col("wanted") < F.col("ties"))
     again = F.coalesce(F.col("__turn") <= F.col("last"), F.lit(False)).cast("long")
-    return rows.join(decided, _same(rows, decided)).withColumn("__times", F.col("passes") + again)
+    if decided.filter("wanted < ties").isEmpty():
+        return joined.withColumn("__times", F.col("passes") + again)
+    more = (F.col("__nth") <= F.col("wanted")).cast("long")
+    settled = joined.filter(~tied).withColumn("__times", F.col("passes") + again)
+    picked = _numbered(joined.filter(tied)).withColumn("__times", F.col("passes") + more).drop("__nth")
+    return settled.unionByName(picked)
 
 
 def mix(docs: DataFrame, seed: int = 11) -> DataFrame:
     """(`doc_id`, `size`, `source_size`, `target`, `taken`) of every document.
 
     Sources by code point, null last, weigh 1, 2, 3, repeating. A document is taken at most three
-    times; a document without words is taken with 0 words. Rows of one doc_id have one seeded hash
-    and are taken together. No rows give no rows. Needs doc_id, text and source; other columns are
-    ignored.
+    times; a document without words is taken with 0 words. A null doc_id is one like any other, and of
+    repeated rows as many are taken as the budget asks. No rows give no rows. Needs doc_id, text and
+    source; other columns are ignored.
     """
     light = cut_lineage(_keyed(docs.select("doc_id", "text", "source"), seed).drop("text"))
     return _with_times(light, decisions(light)).select(
