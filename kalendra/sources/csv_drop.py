@@ -17,11 +17,14 @@ WRITE_OPTIONS = {
     "ignoreTrailingWhiteSpace": False,
 }
 
+#: Files of a drop, as they are or compressed.
+CSV_FILES = "*.csv{,.gz,.bz2}"
+
 
 def _header_width(spark: SparkSession, path: str) -> int:
     """The most columns that the first line of a file names; one pass over the lines, a row per file
     and task. A quoted comma only makes the width larger than needed."""
-    lines = spark.read.option("pathGlobFilter", "*.csv").text(path)
+    lines = spark.read.option("pathGlobFilter", CSV_FILES).text(path)
     commas = F.length("value") - F.length(F.replace("value", F.lit(","), F.lit("")))
     firsts = (
         lines.filter(F.trim("value") != "")
@@ -44,7 +47,7 @@ def _records(spark: SparkSession, path: str, multi_line: bool, width: int) -> Da
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     read = (
         spark.read.schema(schema)
-        .option("pathGlobFilter", "*.csv")
+        .option("pathGlobFilter", CSV_FILES)
         .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
