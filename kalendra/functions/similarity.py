@@ -40,7 +40,9 @@ def lcs_length_batched(a: Column, b: Column) -> Column:
     one integer (Hyyrö 2004), about a hundred times faster than the folded expression."""
 
     def lengths(left: pd.Series, right: pd.Series) -> pd.Series:
-        def common(x: str, y: str) -> int:
+        def common(x: str | None, y: str | None) -> int | None:
+            if not isinstance(x, str) or not isinstance(y, str):
+                return 0 if x == "" or y == "" else None
             places: dict[str, int] = {}
             for i, letter in enumerate(y):
                 places[letter] = places.get(letter, 0) | (1 << i)
@@ -51,7 +53,7 @@ def lcs_length_batched(a: Column, b: Column) -> Column:
                 row = ((row + hit) | (row - hit)) & ones
             return len(y) - row.bit_count()
 
-        return pd.Series([common(x, y) for x, y in zip(left, right, strict=True)], dtype="int32")
+        return pd.Series([common(x, y) for x, y in zip(left, right, strict=True)], dtype="Int32")
 
     return F.pandas_udf(lengths, "int")(a, b)
 
@@ -63,7 +65,7 @@ def indel_distance(a: Column, b: Column) -> Column:
 def ratio(a: Column, b: Column) -> Column:
     """0..1; two empty texts are equal, a missing text resembles nothing."""
     total = F.length(a) + F.length(b)
-    score = F.when(total == 0, F.lit(1.0)).otherwise(2 * lcs_length(a, b) / total)
+    score = F.when(total == 0, F.lit(1.0)).otherwise(2 * lcs_length_batched(a, b) / total)
     return F.coalesce(score, F.lit(0.0))
 
 
