@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kalendra.session import cut_lineage
-from kalendra.sources.selectors import Field, Site, css, elements, page_items, selected, taken
+from kalendra.sources.selectors import Element, Field, Site, css, elements, page_items, selected, taken
 
 _ITEMS = pa.list_(
     pa.struct([("pos", pa.int32()), ("fields", pa.map_(pa.string(), pa.list_(pa.string())))])
@@ -37,8 +37,7 @@ def listing_pages(pages: DataFrame, site: Site, following: Field) -> DataFrame:
     """
     steps = css(following.selector)
 
-    def next_url(text: str, url: str) -> str | None:
-        page = elements(text)
+    def next_url(page: list[Element], text: str, url: str) -> str | None:
         fitting = [k for k in range(len(page)) if selected(page, k, steps)]
         links = (taken(text, page[k], following.value) for k in fitting[following.nth : following.nth + 1])
         return next((urldefrag(urljoin(url, x.strip()))[0] for x in links if x and x.strip()), None)
@@ -56,8 +55,9 @@ def listing_pages(pages: DataFrame, site: Site, following: Field) -> DataFrame:
         for batch in batches:
             columns = (batch.column(c).to_pylist() for c in ("page_id", "url", "html"))
             for page_id, url, text in zip(*columns, strict=True):
-                items = [{"pos": k, "fields": list(v.items())} for k, v in page_items(text, url, site)]
-                rows.append((page_id, url, next_url(text, url), items))
+                page = elements(text)
+                items = [{"pos": k, "fields": list(v.items())} for k, v in page_items(text, url, site, page)]
+                rows.append((page_id, url, next_url(page, text, url), items))
                 if len(rows) >= _ROWS:
                     yield batch_of(rows)
                     rows = []
@@ -66,9 +66,9 @@ def listing_pages(pages: DataFrame, site: Site, following: Field) -> DataFrame:
 
     some = pages.filter(F.col("url").isNotNull() & F.col("html").isNotNull())
     first = some.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    found = cut_lineage(first.mapInArrow(run, _PAGES))
-    chosen = found.groupBy("url").agg(F.min("page_id").alias("page_id"))
-    return found.join(chosen, ["page_id", "url"], "left_semi").dropDuplicates(["url"])
+    found = first.mapInArrow(run, _PAGES).filter(F.col("page_id").isNotNull())
+    shown = F.min_by(F.struct("page_id", "next_url", "items"), "page_id").alias("shown")
+    return found.groupBy("url").agg(shown).select("shown.page_id", "url", "shown.next_url", "shown.items")
 
 
 def follow(links: DataFrame, starts: DataFrame) -> DataFrame:
@@ -146,8 +146,10 @@ def paged_listing(
     """
     found = cut_lineage(listing_pages(pages, site, following))
     trail = cut_lineage(follow(found.select("url", "next_url", F.size("items").alias("n_items")), starts))
-    shown = found.select("url", "page_id", F.posexplode("items").alias("k", "item"))
-    items = trail.join(shown, "url").select(
+    shown = trail.join(found.select("url", "page_id", "items"), "url")
+    items = shown.select(
+        "listing", "page_no", "items_before", "page_id", F.posexplode("items").alias("k", "item")
+    ).select(
         "listing", "page_no", (F.col("items_before") + F.col("k") + 1).alias("item_no"), "page_id", "item.fields"
     )
     return items, trail
