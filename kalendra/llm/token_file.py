@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -238,9 +239,15 @@ def lengths_of(rules: np.ndarray, first_symbol: int) -> np.ndarray:
     return out[first_symbol:]
 
 
+@lru_cache(maxsize=1)
+def worker_encoder(path: str, special_ids: bool) -> Encoder:
+    """A worker's encoder; the tasks that it runs one after another share what it has read and learnt."""
+    return Encoder(path, special_ids)
+
+
 def _blocks(path: str, special_ids: bool):
     def run(batches):
-        encoder, part, number = Encoder(path, special_ids), TaskContext.get().partitionId(), 0
+        encoder, part, number = worker_encoder(path, special_ids), TaskContext.get().partitionId(), 0
         if encoder.size >= SYMBOLS:
             raise ValueError(f"{encoder.size} ids leave no room for new symbols in two bytes")
         for whole in batches:
