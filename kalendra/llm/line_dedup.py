@@ -50,11 +50,16 @@ class Lines:
         self.sums = np.zeros(n + 1, np.uint64)
         np.cumsum(words.hashes * np.multiply.accumulate(up)[:n], out=self.sums[1:])
         self.words = words.hashes
+        self.data, self.starts, self.ends = data, words.starts, words.ends
 
     def stretch(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Hash of the words from a to b, wherever they stand."""
         return (self.sums[b] - self.sums[a]) * self.down[a]
 
+    def line(self, i: int) -> bytes:
+        """Line i from its first word to its last."""
+        return self.data[self.starts[self.first[i]] : self.ends[self.last[i] - 1]].tobytes()
+
     def whole(self) -> tuple[np.ndarray, np.ndarray]:
         """Two 64-bit hashes of each line; both agree only for equal lines."""
         h = self.stretch(self.first, self.last)
@@ -139,18 +144,20 @@ def _with_partner(firsts: DataFrame, least_words: int) -> DataFrame:
     )
 
 
-_SAME, _FULL, _LESS = 0, 1, 2
+_SAME, _FULL, _LESS, _LINE_ITSELF = 0, 1, 2, 3
+_VARIANT = "key long, kind int, doc_id long, line_no long, line string"
 
 
 def _variant_rows(batches):
-    """Keys of the wanted lines: without each word and its place; whole; without each word."""
+    """Keys of the wanted lines: without each word and its place; whole; without each word. And each such
+    line itself, so that no text is fetched again to verify it."""
     for whole in batches:
         for batch in pieces(whole, "text", 1 << 20):
             lines = Lines(batch.column("text"))
             signed = lines.whole()[0].view(np.int64)
             wanted = [{w["a"]: w for w in ws} for ws in batch.column("wanted").to_pylist()]
             ids = batch.column("doc_id").to_pylist()
-            keys, kinds, docs, numbers, sizes = [], [], [], [], []
+            keys, kinds, docs, numbers, sizes, held = [], [], [], [], [], []
             for i, (text, number) in enumerate(zip(lines.text.tolist(), lines.number.tolist())):
                 w = wanted[text].get(int(signed[i]))
                 if w is None or w["line_no"] != number:
@@ -172,15 +179,21 @@ def _variant_rows(batches):
                 docs.append(ids[text])
                 numbers.append(number)
                 sizes.append(n * w["same"] + (n + 1) * w["other"])
+                held.append(lines.line(i))
             if keys:
+                n = sum(sizes)
+                keys.append(np.zeros(len(held), np.uint64))
+                kinds.append(np.full(len(held), _LINE_ITSELF))
+                of = np.array(docs, np.int64), np.array(numbers, np.int64)
+                line = pa.array(held, pa.binary()).cast(pa.string())
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.concatenate(keys).view(np.int64)),
                         pa.array(np.concatenate(kinds), pa.int32()),
-                        pa.array(np.repeat(np.array(docs, np.int64), sizes)),
-                        pa.array(np.repeat(np.array(numbers, np.int64), sizes)),
+                        *[pa.array(np.concatenate([np.repeat(x, sizes), x])) for x in of],
+                        pa.concat_arrays([pa.nulls(n, pa.string()), line]),
                     ],
-                    names=["key", "kind", "doc_id", "line_no"],
+                    names=["key", "kind", "doc_id", "line_no", "line"],
                 )
 
 
@@ -189,7 +202,8 @@ def _wanted_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     lists = wanted.groupBy("doc_id").agg(
         F.collect_list(F.struct("line_no", "a", "same", "other")).alias("wanted")
     )
-    return docs.select("doc_id", "text").join(lists, "doc_id")
+    # Texts are dealt out once whatever the size of the lists, so what a run writes grows with its input.
+    return docs.select("doc_id", "text").join(lists.hint("merge"), "doc_id")
 
 
 def _links(variants: DataFrame) -> DataFrame:
@@ -231,22 +245,10 @@ def within_one(a: Column, b: Column) -> Column:
     return (a == b) | ((F.abs(F.size(a) - F.size(b)) <= 1) & ((tail <= 0) | (end_a == end_b)))
 
 
-def _verified(docs: DataFrame, links: DataFrame) -> DataFrame:
-    """Links whose lines are within one edit on their words."""
-    ends = links.select("doc_id", "line_no").unionByName(
-        links.select(F.col("near.doc_id").alias("doc_id"), F.col("near.line_no").alias("line_no"))
-    )
-    lists = ends.distinct().groupBy("doc_id").agg(F.collect_list("line_no").alias("numbers"))
-
-    def picked(lines: Column) -> Column:
-        there = F.filter("numbers", lambda n: n < F.size(lines))
-        return F.transform(
-            there, lambda n: F.struct(n.alias("line_no"), F.get(lines, n.cast("int")).alias("line"))
-        )
-
-    # A text is split once, and only its wanted lines go on.
-    once = F.get(F.transform(F.array(F.split("text", "\n", -1)), picked), F.lit(0))
-    lines = docs.select("doc_id", "text").join(lists, "doc_id").select("doc_id", F.inline(once))
+def _verified(lines: DataFrame, links: DataFrame) -> DataFrame:
+    """Links whose lines (`doc_id`, `line_no`, `line`) are within one edit on their words."""
+    ends = links.select("doc_id", "line_no").unionByName(links.select("near.doc_id", "near.line_no"))
+    lines = lines.join(ends.distinct(), ["doc_id", "line_no"], "left_semi")
     words = F.filter(F.split("line", r"[\x20\x09-\x0D]+", -1), lambda w: w != "")
     texts = cut_lineage(lines.select("doc_id", "line_no", words.alias("words")).distinct())
     left = texts.select("doc_id", "line_no", F.col("words").alias("left"))
@@ -276,12 +278,10 @@ def repeated_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame
     lines = cut_lineage(known.mapInArrow(_line_rows, f"{_LINE}, {_KEYS}"))
     firsts = cut_lineage(_first_lines(lines))
     wanted = cut_lineage(_with_partner(firsts, least_words))
-    variants = cut_lineage(
-        _wanted_texts(known, wanted).mapInArrow(
-            _variant_rows, "key long, kind int, doc_id long, line_no long"
-        )
-    )
-    near = _verified(known, cut_lineage(_links(variants)))
+    given = cut_lineage(_wanted_texts(known, wanted).mapInArrow(_variant_rows, _VARIANT))
+    itself = F.col("kind") == _LINE_ITSELF
+    held = given.filter(itself).select("doc_id", "line_no", "line")
+    near = _verified(held, cut_lineage(_links(given.filter(~itself).drop("line"))))
     targets = cut_lineage(
         firsts.select("a", "b", "doc_id", "line_no")
         .join(near, ["doc_id", "line_no"], "left")
