@@ -324,7 +324,7 @@ def publish_delta(spark, sf):
     published.record(first)
     second = cut_lineage(published.calls(new))
     published.record(second.filter(F.pmod(F.xxhash64("entry_id"), F.lit(2)) == 0))
-    published.record(published.calls(new))
+    published.record(cut_lineage(published.calls(new)))
     again = published.calls(new).agg(F.count(F.lit(1)).alias("n"))
     none = F.lit(None).cast("string")
     left = again.select(

@@ -13,8 +13,11 @@ from kalendra.operators.publish_delta import (
     branch_of,
     calls_between,
     differing_leaves,
+    entry_id,
+    hash_of,
     identified,
     leaf_digests,
+    leaf_of,
 )
 from kalendra.session import cut_lineage
 from kalendra.sources.versions import read_parts, stage_parts, switch_parts
@@ -28,6 +31,8 @@ DIGESTS = T.StructType(
     ]
 )
 PLACE = ("entry_id", "slot")
+#: Files of a branch.
+PARTS = 16
 
 
 class Calendar:
@@ -65,25 +70,27 @@ class Calendar:
         here = F.col("leaf").isin(opened)
         branches = sorted({str(x >> (LEAF_BITS - BRANCH_BITS)) for x in opened})
         published = self.entries(spark, branches).filter(here)
-        there = identified(published, self.key, self.body, PLACE)
+        there = identified(published, self.key, self.body, ("slot",))
         return calls_between(rows.filter(here), there, self.key, self.body)
 
     def record(self, calls: DataFrame) -> None:
         """Note calls that have been made, all or some of those planned. Only branches with a call are
         written anew; their entries and digests change in one step, so a run that breaks here has
         noted nothing, and one that breaks before has made calls that its next plan repeats: they
-        carry the same ids."""
+        carry the same ids. Calls are read twice: store them first where they take long to find."""
         spark = calls.sparkSession
-        calls = cut_lineage(calls)
-        leaves = identified(calls, self.key, self.body).select(branch_of(F.col("leaf")).cast("string"))
-        branches = sorted(r[0] for r in leaves.distinct().collect())
+        leaves = calls.select(leaf_of(hash_of(self.key)).alias("leaf"))
+        branches = sorted(r[0] for r in leaves.select(branch_of(F.col("leaf")).cast("string")).distinct().collect())
         if not branches:
             return
-        now = applied(self.entries(spark, branches), calls, self.key, self.body)
-        rows = cut_lineage(identified(now, self.key, self.body, PLACE))
-        named = branch_of(F.col("leaf")).cast("string")
-        entries = rows.select(*PLACE, *self.key, *self.body, "leaf", named.alias("branch"))
-        dealt = entries.repartition("branch", F.pmod("leaf", F.lit(16))).sortWithinPartitions("branch", "leaf")
-        sums = leaf_digests(rows).withColumn("sums", named).coalesce(1)
-        staged = stage_parts(dealt, self.path, "branch", branches)
+        now = applied(self.entries(spark, branches), calls, self.key, self.body, PARTS)
+        named = now.withColumn("entry_id", entry_id(hash_of(self.key), F.col("slot")))
+        staged = stage_parts(
+            named.select(*PLACE, *self.key, *self.body, "leaf", "branch"), self.path, "branch", branches
+        )
+        # The digests are those of the files as they were written.
+        files = [f"{self.path}/{folder}/{name}" for name, folder in staged.items() if folder]
+        stored = spark.read.schema(self.schema).parquet(*files) if files else spark.createDataFrame([], self.schema)
+        sums = leaf_digests(identified(stored, self.key, self.body))
+        sums = sums.withColumn("sums", branch_of(F.col("leaf")).cast("string")).coalesce(1)
         switch_parts(spark, self.path, staged | stage_parts(sums, self.path, "sums", branches))

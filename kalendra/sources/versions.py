@@ -60,7 +60,7 @@ def stage_parts(df: DataFrame, path: str, part: str, names: list[str]) -> dict[s
     a pointer has to say of them: the folder of each, or None for a part without rows."""
     spark = df.sparkSession
     folder = f"data-{uuid.uuid4().hex}"
-    df.write.partitionBy(part).parquet(f"{path}/{folder}")
+    df.write.option("compression", "zstd").partitionBy(part).parquet(f"{path}/{folder}")
     changes: dict[str, str | None] = {}
     for name in names:
         place, store = _store(spark, f"{path}/{folder}/{part}={name}")

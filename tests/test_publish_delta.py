@@ -146,3 +146,14 @@ def test_versions_switch_in_one_step(spark, tmp_path):
     versions.switch_parts(spark, path, staged)
     assert [r.n for r in versions.read_parts(spark, path, "part", schema, ["b", "c"]).collect()] == [9]
     assert [r.n for r in versions.read_table(spark, path, schema).collect()] == [2]
+
+
+def test_rows_travel_without_long_ids(spark):
+    """Hashes are bytes, and what is compared carries neither the ids of entries nor anything as text."""
+    rows = P.identified(frame(spark, [("a", "x", "p", 1)]), KEY, BODY)
+    row = rows.first()
+    assert len(row.key_id) == len(row.body_id) == 16 and rows.schema["key_id"].dataType == T.BinaryType()
+    assert row.leaf == int(bytes(row.key_id).hex()[:4], 16)
+    published = rows.withColumn("slot", F.lit(0).cast("long"))
+    calls = P.calls_between(P.identified(frame(spark, [("a", "x", "q", 1)]), KEY, BODY), published, KEY, BODY)
+    assert [(r.action, r.entry_id, r.slot) for r in calls.collect()] == [("update", f"{bytes(row.key_id).hex()}-0", 0)]
