@@ -111,9 +111,10 @@ _KEYS = "k0 long, k1 long, k2 long, k3 long"
 
 
 def _first_lines(lines: DataFrame) -> DataFrame:
-    """The earliest of each set of equal lines."""
+    """The earliest of each set of equal lines, and whether there are `more`."""
     place = F.struct("doc_id", "line_no", "n_words", "k0", "k1", "k2", "k3")
-    return lines.groupBy("a", "b").agg(F.min(place).alias("first")).select("a", "b", "first.*")
+    found = lines.groupBy("a", "b").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+    return found.select("a", "b", "first.*", (F.col("n") > 1).alias("more"))
 
 
 def _with_partner(firsts: DataFrame, least_words: int) -> DataFrame:
@@ -134,7 +135,7 @@ def _with_partner(firsts: DataFrame, least_words: int) -> DataFrame:
         .filter((F.col("n0") > 1) | ((F.col("n0") > 0) & (F.col("n1") > 0)))
     )
     return (
-        keyed.join(met, "key")
+        keyed.join(met.hint("merge"), "key")  # what grows with the input is never broadcast
         .groupBy("doc_id", "line_no", "a")
         .agg(
             F.max((F.col("longer") == 0) & (F.col("n0") > 1)).alias("same"),
@@ -145,19 +146,19 @@ def _with_partner(firsts: DataFrame, least_words: int) -> DataFrame:
 
 
 _SAME, _FULL, _LESS, _LINE_ITSELF = 0, 1, 2, 3
-_VARIANT = "key long, kind int, doc_id long, line_no long, line string"
+_VARIANT = "key long, kind int, doc_id long, line_no long, line string, b long"
 
 
 def _variant_rows(batches):
     """Keys of the wanted lines: without each word and its place; whole; without each word. And each such
-    line itself, so that no text is fetched again to verify it."""
+    line itself, with `a` (as its key) and `b`, so that neither its text nor these are fetched again."""
     for whole in batches:
         for batch in pieces(whole, "text", 1 << 20):
             lines = Lines(batch.column("text"))
-            signed = lines.whole()[0].view(np.int64)
+            signed, second = (h.view(np.int64) for h in lines.whole())
             wanted = [{w["a"]: w for w in ws} for ws in batch.column("wanted").to_pylist()]
             ids = batch.column("doc_id").to_pylist()
-            keys, kinds, docs, numbers, sizes, held = [], [], [], [], [], []
+            keys, kinds, docs, numbers, sizes, held, at_line = [], [], [], [], [], [], []
             for i, (text, number) in enumerate(zip(lines.text.tolist(), lines.number.tolist())):
                 w = wanted[text].get(int(signed[i]))
                 if w is None or w["line_no"] != number:
@@ -180,9 +181,10 @@ def _variant_rows(batches):
                 numbers.append(number)
                 sizes.append(n * w["same"] + (n + 1) * w["other"])
                 held.append(lines.line(i))
+                at_line.append(i)
             if keys:
                 n = sum(sizes)
-                keys.append(np.zeros(len(held), np.uint64))
+                keys.append(signed[at_line].view(np.uint64))
                 kinds.append(np.full(len(held), _LINE_ITSELF))
                 of = np.array(docs, np.int64), np.array(numbers, np.int64)
                 line = pa.array(held, pa.binary()).cast(pa.string())
@@ -192,8 +194,9 @@ def _variant_rows(batches):
                         pa.array(np.concatenate(kinds), pa.int32()),
                         *[pa.array(np.concatenate([np.repeat(x, sizes), x])) for x in of],
                         pa.concat_arrays([pa.nulls(n, pa.string()), line]),
+                        pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(second[at_line])]),
                     ],
-                    names=["key", "kind", "doc_id", "line_no", "line"],
+                    names=["key", "kind", "doc_id", "line_no", "line", "b"],
                 )
 
 
@@ -221,7 +224,7 @@ def _links(variants: DataFrame) -> DataFrame:
     )
     near = F.when(F.col("kind") == _FULL, F.col("less")).otherwise(F.col("whole"))
     return (
-        rows.join(least, ["key", "family"])
+        rows.join(least.hint("merge"), ["key", "family"])
         .select("place", near.alias("near"))
         .filter(F.col("near") < F.col("place"))
         .groupBy("place")
@@ -281,11 +284,14 @@ def repeated_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame
     given = cut_lineage(_wanted_texts(known, wanted).mapInArrow(_variant_rows, _VARIANT))
     itself = F.col("kind") == _LINE_ITSELF
     held = given.filter(itself).select("doc_id", "line_no", "line")
-    near = _verified(held, cut_lineage(_links(given.filter(~itself).drop("line"))))
+    near = _verified(held, cut_lineage(_links(given.filter(~itself).drop("line", "b"))))
+    place = F.struct("doc_id", "line_no").alias("equal")
+    hashes = given.filter(itself).select("doc_id", "line_no", F.col("key").alias("a"), "b")
+    # Only lines that have an equal or a near one are looked up by the others.
     targets = cut_lineage(
-        firsts.select("a", "b", "doc_id", "line_no")
-        .join(near, ["doc_id", "line_no"], "left")
-        .select("a", "b", F.struct("doc_id", "line_no").alias("equal"), "near")
+        firsts.filter("more").select("a", "b", place, F.lit(None).cast("struct<doc_id:long,line_no:long>").alias("near"))
+        .unionByName(near.join(hashes, ["doc_id", "line_no"]).select("a", "b", place, "near"))
+        .groupBy("a", "b").agg(F.min("equal").alias("equal"), F.min("near").alias("near"))
     )
     like = F.least("equal", "near")  # the null of a line without near lines is passed over
     return (
