@@ -79,23 +79,26 @@ def follow(links: DataFrame, starts: DataFrame) -> DataFrame:
     page, `gap` if that page (`next_url`) is not there, `loop` if the listing has been there before. A
     listing whose first page is not there has one row with page_no 0 and ending `gap`. Listings may
     share pages.
+
+    All tables here grow with the pages, and addresses are far smaller on disk than in memory, so none is
+    ever broadcast.
     """
     links = cut_lineage(links.select("url", "next_url", F.col("n_items").cast("long").alias("n_items")))
     starts = cut_lineage(starts.select("listing", "url"))
     there = links.select("url")
     jump = cut_lineage(
-        links.join(there.withColumnRenamed("url", "next_url"), "next_url", "left_semi").select(
+        links.join(there.withColumnRenamed("url", "next_url").hint("merge"), "next_url", "left_semi").select(
             "url", F.col("next_url").alias("to"), F.col("n_items").alias("between")
         )
     )
     reached = cut_lineage(
-        starts.join(there, "url", "left_semi").select(
+        starts.join(there.hint("merge"), "url", "left_semi").select(
             "listing", "url", F.lit(1).cast("long").alias("page_no"), F.lit(0).cast("long").alias("items_before")
         )
     )
     step, size = 1, reached.count()
     while True:
-        further = reached.join(jump, "url").select(
+        further = reached.join(jump.hint("merge"), "url").select(
             "listing", F.col("to").alias("url"), (F.col("page_no") + step).alias("page_no"),
             (F.col("items_before") + F.col("between")).alias("items_before"),
         )
@@ -110,7 +113,7 @@ def follow(links: DataFrame, starts: DataFrame) -> DataFrame:
             break
         onward = jump.toDF("to", "further", "more")
         jump = cut_lineage(
-            jump.join(onward, "to").select(
+            jump.join(onward.hint("merge"), "to").select(
                 "url", F.col("further").alias("to"), (F.col("between") + F.col("more")).alias("between")
             )
         )
@@ -124,12 +127,12 @@ def follow(links: DataFrame, starts: DataFrame) -> DataFrame:
     )
     columns = ["listing", "page_no", "url", "items_before", ending.alias("ending"), "next_url"]
     trail = (
-        reached.join(links.select("url", "next_url"), "url")
-        .join(known, "next_url", "left")
-        .join(placed, ["listing", "next_url"], "left")
+        reached.join(links.select("url", "next_url").hint("merge"), "url")
+        .join(known.hint("merge"), "next_url", "left")
+        .join(placed.hint("merge"), ["listing", "next_url"], "left")
         .select(*columns)
     )
-    absent = starts.join(there, "url", "left_anti").select(
+    absent = starts.join(there.hint("merge"), "url", "left_anti").select(
         "listing", F.lit(0).cast("long").alias("page_no"), F.lit(None).cast("string").alias("url"),
         F.lit(0).cast("long").alias("items_before"), F.lit("gap").alias("ending"), F.col("url").alias("next_url"),
     )
@@ -146,7 +149,7 @@ def paged_listing(
     """
     found = cut_lineage(listing_pages(pages, site, following))
     trail = cut_lineage(follow(found.select("url", "next_url", F.size("items").alias("n_items")), starts))
-    shown = trail.join(found.select("url", "page_id", "items"), "url")
+    shown = trail.join(found.select("url", "page_id", "items").hint("merge"), "url")
     items = shown.select(
         "listing", "page_no", "items_before", "page_id", F.posexplode("items").alias("k", "item")
     ).select(
